@@ -95,16 +95,23 @@ def clean_events(
     end_date: date | str | None = None,
 ) -> DataFrame:
     """The silver table: valid events, one per id, in the silver schema."""
-    tagged = tag_events(bronze, as_of, skew_seconds, start_date, end_date)
-    passed = (
+    passed = passing_events(tag_events(bronze, as_of, skew_seconds, start_date, end_date))
+    return to_silver(earliest_per_id(passed, "event_id", "event_timestamp"))
+
+
+def passing_events(tagged: DataFrame) -> DataFrame:
+    """Rows that pass every row rule, with the parsed timestamp and the known metadata."""
+    return (
         tagged.filter("reject_reason IS NULL")
-        .withColumn("metadata", known_metadata(bronze))
+        .withColumn("metadata", known_metadata(tagged))
         .withColumn("event_timestamp", F.col("event_time"))
         .select(*EVENT_COLUMNS)
     )
-    return earliest_per_id(passed, "event_id", "event_timestamp").select(
-        *[_standardised(field.name).cast(field.dataType).alias(field.name) for field in SILVER]
-    )
+
+
+def to_silver(events: DataFrame) -> DataFrame:
+    """Standardised columns and the partition date, in the silver schema."""
+    return events.select(*[_standardised(f.name).cast(f.dataType).alias(f.name) for f in SILVER])
 
 
 def _standardised(name: str) -> Column:

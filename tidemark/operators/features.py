@@ -6,17 +6,13 @@ from pyspark.sql import functions as F
 from tidemark.schema import GOLD
 
 
-def feature_usage(silver: DataFrame) -> DataFrame:
-    """The gold ``feature_usage`` table from silver events.
+def feature_days(silver: DataFrame) -> DataFrame:
+    """Usage per date and feature, events without a feature included under NULL.
 
     The first grouping carries the user, which spreads a hot feature over all tasks; the
     second one starts from counts already combined map-side.
     """
-    per_user = (
-        silver.filter("feature IS NOT NULL")
-        .groupBy("event_date", "feature", "user_id")
-        .agg(F.count("*").alias("uses"))
-    )
+    per_user = silver.groupBy("event_date", "feature", "user_id").agg(F.count("*").alias("uses"))
     return (
         per_user.groupBy("event_date", "feature")
         .agg(
@@ -26,3 +22,12 @@ def feature_usage(silver: DataFrame) -> DataFrame:
         )
         .select(*GOLD["feature_usage"].fieldNames())
     )
+
+
+def feature_usage(silver: DataFrame) -> DataFrame:
+    """The gold ``feature_usage`` table from silver events; the filter reaches the scan."""
+    return usage_from_feature_days(feature_days(silver))
+
+
+def usage_from_feature_days(days: DataFrame) -> DataFrame:
+    return days.filter("feature IS NOT NULL").select(*GOLD["feature_usage"].fieldNames())

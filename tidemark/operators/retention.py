@@ -11,7 +11,12 @@ from tidemark.schema import GOLD, RETENTION_DAYS
 
 
 def retention_cohorts(activity: DataFrame, days: Sequence[int] = RETENTION_DAYS) -> DataFrame:
-    """The gold ``retention_cohorts`` table from any frame with ``user_id`` and ``event_date``.
+    """The gold ``retention_cohorts`` table from any frame with ``user_id`` and ``event_date``."""
+    return retention_from_active_days(active_days(activity), days)
+
+
+def retention_from_active_days(active: DataFrame, days: Sequence[int] = RETENTION_DAYS) -> DataFrame:
+    """The same from rows already distinct per user and date.
 
     Rows exist only where at least one user came back. Each user counts once per offset
     because user-days are distinct, so plain counts suffice and no join is needed.
@@ -19,7 +24,8 @@ def retention_cohorts(activity: DataFrame, days: Sequence[int] = RETENTION_DAYS)
     first_day = F.min("event_date").over(Window.partitionBy("user_id"))
     came_back = lambda day: F.count_if(F.col("offset") == day)
     cohorts = (
-        active_days(activity)
+        active.select("user_id", "event_date")
+        .filter("user_id IS NOT NULL")
         .withColumn("signup_date", first_day)
         .withColumn("offset", F.datediff("event_date", "signup_date"))
         .groupBy("signup_date")
