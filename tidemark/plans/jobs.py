@@ -85,17 +85,26 @@ def _replace_dates(spark: SparkSession, fresh: DataFrame, filled: set[date], pat
         _delete(spark, f"{path.rstrip('/')}/event_date={day.isoformat()}")
 
 
-def _within(start: date, end: date, also: set[date] = frozenset()) -> Column:
-    day = F.col("event_date")
-    scope = day.between(F.lit(start), F.lit(end))
-    return scope | day.isin(sorted(also)) if also else scope
+def _before(start: date | None) -> Column:
+    return F.col("event_date") < F.lit(start) if start else F.lit(False)
 
 
-def checked_range(start_date: Day | None, end_date: Day | None) -> tuple[date, date]:
-    if not start_date or not end_date:
-        raise ValueError("a backfill needs both start_date and end_date (YYYY-MM-DD)")
-    start, end = parse_date(start_date), parse_date(end_date)
-    if start > end:
+def _after(end: date | None) -> Column:
+    return F.col("event_date") > F.lit(end) if end else F.lit(False)
+
+
+def _within(start: date | None, end: date | None, also: set[date] = frozenset()) -> Column:
+    scope = ~(_before(start) | _after(end))
+    return scope | F.col("event_date").isin(sorted(also)) if also else scope
+
+
+def checked_range(start_date: Day | None, end_date: Day | None) -> tuple[date | None, date | None]:
+    """Bounds as dates; either may be open, but not both."""
+    start = parse_date(start_date) if start_date else None
+    end = parse_date(end_date) if end_date else None
+    if not (start or end):
+        raise ValueError("a date range needs start_date or end_date (YYYY-MM-DD)")
+    if start and end and start > end:
         raise ValueError(f"start_date {start} is after end_date {end}")
     return start, end
 
@@ -129,8 +138,8 @@ def backfill_silver(
     spark: SparkSession,
     bronze_path: str | list[str],
     silver_path: str,
-    start_date: Day,
-    end_date: Day,
+    start_date: Day | None,
+    end_date: Day | None,
     as_of: datetime | str | None = None,
 ) -> Backfill:
     """Replace the silver partitions of a date range from bronze.
@@ -156,12 +165,11 @@ def backfill_silver(
         if silver is not None:
             elsewhere = silver.filter(~_within(start, end)).select("event_id", "event_date")
             shared_ids = staged("shared_ids", elsewhere.join(fresh.select("event_id"), "event_id", "left_semi"))
-            earlier = shared_ids.filter(F.col("event_date") < F.lit(start)).select("event_id")
+            earlier = shared_ids.filter(_before(start)).select("event_id")
             fresh = fresh.join(earlier, "event_id", "left_anti")
-            is_later = F.col("event_date") > F.lit(end)
-            later_dates = _dates(shared_ids, is_later)
+            later_dates = _dates(shared_ids, _after(end))
             if later_dates:
-                displaced = shared_ids.filter(is_later).select("event_id")
+                displaced = shared_ids.filter(_after(end)).select("event_id")
                 on_those_dates = silver.filter(F.col("event_date").isin(sorted(later_dates)))
                 kept = staged("kept", on_those_dates.join(displaced, "event_id", "left_anti"))
                 fresh = fresh.unionByName(kept)
@@ -307,6 +315,8 @@ def run_backfill(
     as_of: datetime | str | None = None,
 ) -> dict[str, int]:
     """Redo a date range from bronze through all six metric tables."""
+    if not (start_date and end_date):
+        raise ValueError("a backfill needs both start_date and end_date (YYYY-MM-DD)")
     done = backfill_silver(spark, bronze_path, silver_path, start_date, end_date, as_of)
     refresh_rollups(spark, silver_path, gold_root, start_date, end_date, done.later_dates)
     build_gold(spark, gold_root)
