@@ -147,6 +147,49 @@ def test_funnel_from_the_rollup_is_the_same(silver):
     assert rows(funnel_from_first_steps(first_steps_from_user_days(user_days(df)))) == rows(funnel_metrics(df))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_funnel_and_retention_match_brute_force(silver, seed):
+    rng = random.Random(seed)
+    kinds = [*FUNNEL_STEPS, "user_login"]
+    drawn = [
+        (f"u{rng.randrange(40)}", rng.choice(kinds), rng.randrange(1, 13), rng.randrange(4)) for _ in range(300)
+    ]
+    df = silver(
+        *[
+            {"event_id": str(i), "user_id": u, "event_type": kind, "event_timestamp": at(d, f"1{h}:00:00")}
+            for i, (u, kind, d, h) in enumerate(drawn)
+        ]
+    )
+    users = {u for u, *_ in drawn}
+    first = {(u, s): min((d, h) for v, kind, d, h in drawn if (v, kind) == (u, s)) for u, s, *_ in drawn}
+    reached: dict = {}
+    for u in users:
+        cohort, before = first.get((u, FUNNEL_STEPS[0])), (0, 0)
+        for order, step in enumerate(FUNNEL_STEPS, 1):
+            now = first.get((u, step))
+            if cohort is None or now is None or now < before:
+                break
+            reached[(day(cohort[0]), order)] = reached.get((day(cohort[0]), order), 0) + 1
+            before = now
+    funnel = {(r.event_date, r.step_order): r for r in funnel_metrics(df).collect()}
+    assert {k: r.users_reached for k, r in funnel.items()} == reached
+    for (cohort, order), row in funnel.items():
+        assert row.conversion_rate == pytest.approx(row.users_reached / reached[(cohort, 1)])
+        drop = 1 - row.users_reached / reached[(cohort, order - 1)] if order > 1 else 0.0
+        assert row.drop_off_rate == pytest.approx(drop)
+
+    active = {(u, d) for u, _, d, _ in drawn}
+    signup = {u: min(d for v, d in active if v == u) for u in users}
+    expected: dict = {}
+    for u, d in active:
+        if d - signup[u] in (0, 1, 7, 30):
+            key = (day(signup[u]), d - signup[u])
+            expected[key] = expected.get(key, 0) + 1
+    cohorts = {(r.signup_date, r.retention_day): r for r in retention_cohorts(df).collect()}
+    assert {k: r.retained_users for k, r in cohorts.items()} == expected
+    assert all(r.cohort_size == expected[(s, 0)] for (s, _), r in cohorts.items())
+
+
 # --- features and revenue ---------------------------------------------------------------
 
 

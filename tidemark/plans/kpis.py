@@ -45,6 +45,23 @@ def new_vs_returning(daily: DataFrame, days: int = 14) -> DataFrame:
     return _latest(daily, days, "new_users", "returning_users", total)
 
 
+def latest_product_kpis(daily: DataFrame) -> DataFrame:
+    """The headline cards of the newest day, session length included."""
+    return _latest(
+        daily,
+        1,
+        "daily_active_users",
+        "weekly_active_users",
+        "monthly_active_users",
+        "dau_mau_stickiness",
+        "avg_session_duration",
+    )
+
+
+def events_per_day(daily: DataFrame) -> DataFrame:
+    return _by_date(daily, "total_events")
+
+
 def week_over_week_growth(daily: DataFrame) -> DataFrame:
     """Growth against the row seven rows earlier (rows, not calendar days)."""
     week_ago = F.lag("daily_active_users", 7).over(Window.orderBy("event_date"))
@@ -100,6 +117,10 @@ def worst_cohorts(retention: DataFrame, day: int = 1, rows: int = 10) -> DataFra
     )
 
 
+def retention_trend(retention: DataFrame) -> DataFrame:
+    return retention.select("signup_date", "retention_day", "retention_rate").orderBy("signup_date", "retention_day")
+
+
 def retention_pivot(retention: DataFrame, days: tuple[int, ...] = (1, 7, 30)) -> DataFrame:
     rate_on = lambda d: F.max(F.when(F.col("retention_day") == d, F.col("retention_rate")))
     return (
@@ -135,6 +156,15 @@ def funnel_for_cohort(funnel: DataFrame, cohort: date | str) -> DataFrame:
     return funnel.filter(F.col("event_date") == F.lit(parse_date(cohort))).select(*_FUNNEL_COLUMNS).orderBy("step_order")
 
 
+def cohort_dates(funnel: DataFrame) -> DataFrame:
+    """Cohorts to choose from, newest first."""
+    return funnel.select("event_date").distinct().orderBy(F.desc("event_date"))
+
+
+def conversion_by_step(funnel: DataFrame) -> DataFrame:
+    return funnel.select("event_date", "funnel_step", "conversion_rate").orderBy("event_date", "funnel_step")
+
+
 def average_conversion(funnel: DataFrame) -> DataFrame:
     return (
         funnel.groupBy("funnel_step", "step_order")
@@ -211,6 +241,16 @@ def arpu_and_arppu(revenue: DataFrame) -> DataFrame:
     )
 
 
+def latest_revenue(revenue: DataFrame) -> DataFrame:
+    """The headline cards of the newest day."""
+    net = (F.col("subscription_starts") - F.col("subscription_cancellations")).alias("net_subscriptions")
+    return _latest(revenue, 1, "total_revenue", "paying_users", "arpu", net)
+
+
+def revenue_trend(revenue: DataFrame) -> DataFrame:
+    return _by_date(revenue, "total_revenue", "arpu")
+
+
 def net_subscriptions(revenue: DataFrame) -> DataFrame:
     net = F.col("subscription_starts") - F.col("subscription_cancellations")
     return _by_date(revenue, "subscription_starts", "subscription_cancellations", net.alias("net_subscriptions"))
@@ -244,6 +284,11 @@ def flagged_anomalies(anomalies: DataFrame) -> DataFrame:
     )
 
 
+def metric_names(anomalies: DataFrame) -> DataFrame:
+    """Metrics to choose from."""
+    return anomalies.select("metric_name").distinct().orderBy("metric_name")
+
+
 def anomaly_series(anomalies: DataFrame, metric_name: str) -> DataFrame:
     return _by_date(
         anomalies.filter(F.col("metric_name") == metric_name), "actual_value", "expected_value", "is_anomaly"

@@ -33,8 +33,12 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testtables.silver_events(spark, sf_dir)
 
 
+def _full_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_user_metrics(_silver(spark, sf_dir))
+
+
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily table's user columns; no query of the library needs the session columns."""
+    """The daily table without its session columns, for queries that do not need them."""
     return active_users(user_days(_silver(spark, sf_dir)))
 
 
@@ -161,7 +165,7 @@ QUERIES: dict[str, Query] = {
     "silver_user_days": lambda spark, sf_dir: user_days(_silver(spark, sf_dir)).select(
         "user_id", "event_date", "events", "revenue", "payments", "subscription_starts", "subscription_cancellations"
     ),
-    "gold_daily_user_metrics": _on(_silver, daily_user_metrics),
+    "gold_daily_user_metrics": _full_daily,
     "gold_daily_from_bronze": _on(_clean_without_country, daily_user_metrics),
     "gold_retention_cohorts": _retention,
     "gold_retention_orders": _order_retention,
@@ -180,6 +184,8 @@ QUERIES: dict[str, Query] = {
     "q_dau_trend_30": _on(_daily, kpis.dau_trend),
     "q_stickiness_trend": _on(_daily, kpis.stickiness_trend),
     "q_new_vs_returning_14": _on(_daily, kpis.new_vs_returning),
+    "q_latest_product_kpis": _on(_full_daily, kpis.latest_product_kpis),
+    "q_events_per_day": _on(_daily, kpis.events_per_day),
     "q_wow_growth": _on(_daily, kpis.week_over_week_growth),
     "q_active_users_long": _on(_daily, kpis.active_users_long),
     "q_user_status_long": _on(_daily, kpis.user_status_long),
@@ -188,10 +194,13 @@ QUERIES: dict[str, Query] = {
     "q_overall_retention": _on(_retention, kpis.overall_retention),
     "q_day7_retention": _on(_retention, kpis.retention_on_day),
     "q_worst_day1_cohorts": _on(_retention, kpis.worst_cohorts),
+    "q_retention_trend": _on(_order_retention, kpis.retention_trend),
     "q_retention_pivot": _on(_retention, kpis.retention_pivot),
     "q_retention_heatmap": _on(_order_retention, kpis.retention_heatmap),
     "q_latest_funnel": _on(_funnel, kpis.latest_funnel),
     "q_funnel_for_cohort": _on(_funnel, kpis.funnel_for_cohort, COHORT),
+    "q_cohort_dates": _on(_funnel, kpis.cohort_dates),
+    "q_conversion_by_step": _on(_funnel, kpis.conversion_by_step),
     "q_avg_conversion": _on(_funnel, kpis.average_conversion),
     "q_worst_dropoff": _on(_funnel, kpis.worst_drop_off),
     "q_dropoff_by_step": _on(_funnel, kpis.drop_off_by_step),
@@ -201,10 +210,13 @@ QUERIES: dict[str, Query] = {
     "q_feature_adoption": _on_both(_features, _daily, kpis.feature_adoption),
     "q_business_summary": _on_both(_daily, _revenue, kpis.business_summary),
     "q_arpu_arppu": _on(_revenue, kpis.arpu_and_arppu),
+    "q_latest_revenue": _on(_revenue, kpis.latest_revenue),
+    "q_revenue_trend": _on(_revenue, kpis.revenue_trend),
     "q_net_subscriptions": _on(_revenue, kpis.net_subscriptions),
     "q_subscriptions_long": _on(_revenue, kpis.subscriptions_long),
     "q_kpi_snapshot": _on_both(_daily, _revenue, kpis.kpi_snapshot),
     "q_flagged_anomalies": _on(_anomalies, kpis.flagged_anomalies),
+    "q_metric_names": _on(_anomalies, kpis.metric_names),
     "q_anomaly_series": _on(_anomalies, kpis.anomaly_series, METRIC),
     "q_anomaly_counts": _on(_anomalies, kpis.anomaly_counts),
     "q_churn_proxy": _on(_silver, lapsed_users, *CHURN_RANGES),

@@ -1,6 +1,7 @@
 """Bronze NDJSON, silver Parquet and gold Parquet: readers, writers and table registration."""
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ def read_bronze(
     end_date: date | str | None = None,
     prune_directories: bool = True,
 ) -> DataFrame:
-    """Raw events from NDJSON files under a root, a glob or a list of paths.
+    """Raw events from NDJSON files under a root, a glob, or several of these together.
 
     The schema is given, so nothing is inferred; lines that do not parse keep their text in
     ``_corrupt_record``. With a date range and a ``year=/month=/day=`` layout under the root,
@@ -30,6 +31,9 @@ def read_bronze(
     offsets and sessions crossing midnight move an event by less than a day. This does not
     filter rows; the cleaning job does, from the parsed timestamps.
     """
+    if not isinstance(path, str):
+        roots = [read_bronze(spark, root, start_date, end_date, prune_directories) for root in path]
+        return reduce(DataFrame.unionByName, roots)
     raw = spark.read.schema(BRONZE_WITH_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     if prune_directories and set(BRONZE_LEVELS[:3]) <= set(raw.columns):
         directory = F.make_date("year", "month", "day")

@@ -1,7 +1,9 @@
 """Arriving NDJSON to bronze, and bronze to silver, as streaming queries.
 
 Both use the file sink, whose commit log with the checkpoint makes each event land exactly
-once even when a batch is retried. Pass a checkpoint folder on shared storage.
+once even when a batch is retried. Pass a checkpoint folder on shared storage. The sink keeps
+its own list of the files it committed, and readers of the folder follow that list, so give
+each streaming query a folder no batch job writes into; ``read_bronze`` takes several roots.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from tidemark.sources.lake import BRONZE_LEVELS, EVENTS_PER_FILE, hourly_directo
 FLUSH_INTERVAL = "10 seconds"
 EVERY_FLUSH = {"processingTime": FLUSH_INTERVAL}
 UNTIL_CAUGHT_UP = {"availableNow": True}
+HOT_ID_SALTS = 8
 
 
 def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -80,14 +83,15 @@ def clean_stream(
     bronze: DataFrame,
     watermark: str = "1 hour",
     as_of: datetime | str | Column | None = None,
-    hot_id_salts: int = 0,
+    hot_id_salts: int = HOT_ID_SALTS,
 ) -> DataFrame:
     """Silver events from a bronze stream, the first copy seen of each id within the watermark.
 
     State is bounded by the watermark, so events later than that are left to the batch job,
-    which deduplicates over everything. ``hot_id_salts`` adds a first deduplication keyed by
-    id and input task, which spreads an id that makes up much of the stream over that many
-    tasks; the second one then sees at most one row per salt.
+    which deduplicates over everything. A first deduplication keyed by id and input task
+    spreads an id that makes up much of the stream over ``hot_id_salts`` tasks; the second one
+    then sees at most one row per salt. It doubles the state, so pass 0 to leave it out where
+    no id repeats that much.
     """
     rows = passing_events(tag_events(bronze, as_of)).withWatermark("event_timestamp", watermark)
     if hot_id_salts:
@@ -102,7 +106,7 @@ def stream_to_silver(
     checkpoint: str,
     watermark: str = "1 hour",
     as_of: datetime | str | Column | None = None,
-    hot_id_salts: int = 0,
+    hot_id_salts: int = HOT_ID_SALTS,
     trigger: dict = EVERY_FLUSH,
 ) -> StreamingQuery:
     """Append clean events to the date-partitioned silver table."""
