@@ -27,6 +27,7 @@ from tidemark.operators.retention import retention_from_active_days
 from tidemark.operators.revenue import revenue_from_user_days
 from tidemark.operators.user_days import user_days
 from tidemark.schema import ANOMALY_THRESHOLD, ANOMALY_WINDOW
+from tidemark.session import shuffles_sized_for
 from tidemark.sources.lake import gold_path, load_gold, read_bronze, read_silver, write_by_date, write_gold
 
 Day = date | str
@@ -122,8 +123,9 @@ def clean_bronze(
     """Rebuild the silver table from all of bronze; returns the drop report."""
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path)
-    write_by_date(clean_events(bronze, now), silver_path)
-    return _as_dict(quality_report(bronze, now))
+    with shuffles_sized_for(bronze):
+        write_by_date(clean_events(bronze, now), silver_path)
+        return _as_dict(quality_report(bronze, now))
 
 
 @dataclass(frozen=True)
@@ -153,6 +155,21 @@ def backfill_silver(
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path, start, end)
     silver = _read_if_present(spark, silver_path)
+    with shuffles_sized_for(bronze, *([] if silver is None else [silver.select("event_id")])):
+        later_dates = _replace_silver(spark, bronze, silver, silver_path, start, end, now)
+        report = _as_dict(quality_report(bronze, now, start_date=start, end_date=end))
+    return Backfill(report, later_dates)
+
+
+def _replace_silver(
+    spark: SparkSession,
+    bronze: DataFrame,
+    silver: DataFrame | None,
+    silver_path: str,
+    start: date | None,
+    end: date | None,
+    now: datetime | str,
+) -> set[date]:
     staging = _staging_path(spark, silver_path)
 
     def staged(name: str, df: DataFrame) -> DataFrame:
@@ -175,10 +192,9 @@ def backfill_silver(
                 fresh = fresh.unionByName(kept)
         scope = _within(start, end, later_dates)
         _replace_dates(spark, fresh, _dates(fresh, scope), silver_path, scope)
+        return later_dates
     finally:
         _delete(spark, staging)
-    report = quality_report(bronze, now, start_date=start, end_date=end)
-    return Backfill(_as_dict(report), later_dates)
 
 
 # --- quality ----------------------------------------------------------------------------
@@ -210,7 +226,8 @@ def run_checks(
         raise ValueError(f"mode must be 'raise' or 'warn', not {mode!r}")
     build, label = _SUBSETS[subset]
     now = as_of or datetime.now(timezone.utc)
-    rows = build(silver, as_of=now, **options).orderBy("check_order").collect()  # at most seven rows
+    with shuffles_sized_for(silver):
+        rows = build(silver, as_of=now, **options).orderBy("check_order").collect()  # at most seven rows
     checks = [{"name": r.name, "passed": r.passed, "detail": r.detail} for r in rows]
     return _conclude(checks, label, mode)
 
@@ -253,14 +270,17 @@ def refresh_rollups(
     """Rebuild the rollups: all of them, or only the dates of a range and those in ``also``."""
     silver = read_silver(spark, silver_path)
     if start_date is None and end_date is None:
-        for name, build in ROLLUPS.items():
-            write_by_date(build(silver), rollup_path(gold_root, name))
+        with shuffles_sized_for(silver):
+            for name, build in ROLLUPS.items():
+                write_by_date(build(silver), rollup_path(gold_root, name))
         return
     scope = _within(*checked_range(start_date, end_date), also)
     filled = _dates(silver, scope)
-    for name, build in ROLLUPS.items():
-        # Every rollup has a row on every date with events, so silver's dates are theirs.
-        _replace_dates(spark, build(silver.filter(scope)), filled, rollup_path(gold_root, name), scope)
+    chosen = silver.filter(scope)
+    with shuffles_sized_for(chosen):
+        for name, build in ROLLUPS.items():
+            # Every rollup has a row on every date with events, so silver's dates are theirs.
+            _replace_dates(spark, build(chosen), filled, rollup_path(gold_root, name), scope)
 
 
 def build_gold(
@@ -281,7 +301,7 @@ def build_gold(
         "feature_usage": usage_from_feature_days(features),
         "revenue_metrics": revenue_from_user_days(days),
     }
-    with ThreadPoolExecutor(len(tables)) as pool:
+    with shuffles_sized_for(days), ThreadPoolExecutor(len(tables)) as pool:
         writes = [pool.submit(write_gold, table, gold_path(gold_root, name)) for name, table in tables.items()]
         for write in writes:
             write.result()

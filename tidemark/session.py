@@ -1,6 +1,25 @@
-"""Spark session settings the jobs rely on."""
+"""Spark session settings the jobs rely on, and shuffle sizing by input."""
 
-from pyspark.sql import SparkSession
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Used where the cluster has not set them. Advisory size gives partitioned writes files of a
+# useful size; the split bound keeps map tasks, and with them shuffle blocks, in the thousands.
+DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionNum": "100000",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+BYTES_PER_SHUFFLE_PARTITION = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -13,20 +32,40 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def get_spark(
     app_name: str = "tidemark", master: str | None = None, settings: dict[str, str] | None = None
 ) -> SparkSession:
-    """Session with runtime re-planning on; cluster sizing stays with spark-submit."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
-    )
+    """Session in UTC with runtime re-planning on; resources stay with spark-submit."""
+    builder = SparkSession.builder.appName(app_name).config("spark.sql.adaptive.enabled", "true")
     if master:
         builder = builder.master(master)
     for key, value in (settings or {}).items():
         builder = builder.config(key, value)
-    return pin_utc(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return pin_utc(spark)
+
+
+def input_bytes(*inputs: DataFrame) -> int:
+    """Bytes behind the frames as the optimiser estimates them from file listings.
+
+    An upper bound: columns count by their width, but partitions are pruned only later.
+    """
+    return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in inputs)
+
+
+@contextmanager
+def shuffles_sized_for(*inputs: DataFrame) -> Iterator[None]:
+    """Raise the shuffle partitions of the enclosed actions to fit their inputs.
+
+    Never below the session's own number; adaptive execution merges partitions that turn out
+    small, but cannot split ones that were too few.
+    """
+    spark, key = inputs[0].sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes(*inputs) / BYTES_PER_SHUFFLE_PARTITION))
+    spark.conf.set(key, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -4,8 +4,9 @@ Everything is a projection of ``events`` read once, plus a lookup of the user's
 the country is wanted, so work grows with the tables.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schema import EVENT_COLUMNS, SILVER
 from tidemark.session import pin_utc
@@ -21,99 +22,92 @@ def _parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _by_remainder(number: Column, *values: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
-
-
-def _events(spark: SparkSession, sf_dir: str, with_country: bool) -> DataFrame:
-    """Clean events in the event model, with the raw ``raw_id`` and ``time`` kept."""
-    raw = _parquet(spark, sf_dir, "events").select(
-        F.col("event_id").alias("raw_id"),
-        F.col("user_id").alias("raw_user"),
-        F.col("ts").cast("timestamp").alias("time"),
-        F.col("event_type").alias("kind"),
+# Each event-model column as an expression over (raw_id, raw_user, time, kind, value, k, nation).
+_MODEL = {
+    "event_id": "concat('evt_', raw_id)",
+    "user_id": "concat('user_', raw_user)",
+    "session_id": "concat_ws('_', 'sess', raw_user, date_format(time, 'yyyyMMdd'), hour(time) div 6)",
+    "event_type": """CASE kind
+        WHEN 'signup' THEN 'user_signup'
+        WHEN 'view' THEN 'profile_view'
+        WHEN 'click' THEN if(k % 2 = 0, 'post_created', 'post_liked')
+        WHEN 'purchase' THEN
+            CASE k % 3 WHEN 0 THEN 'subscription_started' WHEN 1 THEN 'purchase_completed' ELSE 'subscription_cancelled' END
+        WHEN 'error' THEN 'app_error' END""",
+    "event_timestamp": "time",
+    "platform": "CASE raw_user % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END",
+    "device_type": "if(raw_user % 3 = 2, 'Desktop', 'Mobile')",
+    "country": "nation",
+    "city": "'Springfield'",
+    "app_version": "'2.4.1'",
+    "page": "concat('page_', k % 7)",
+    "feature": "if(k % 10 <> 0, concat('feature_', k % 10), NULL)",
+    "post_id": "CAST(NULL AS STRING)",
+    "creator_id": "CAST(NULL AS STRING)",
+    "duration_seconds": "if(kind <> 'purchase', CAST(floor(value) AS INT), NULL)",
+    "revenue": "if(kind = 'purchase' AND k % 3 <> 2, value, 0.0D)",
+    "metadata": """named_struct(
+        'experiment_group', CASE raw_user % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END,
+        'referrer', 'organic')""",
+}
+
+# What a clean table changes, and what the documented kinds of dirt change.
+_CLEAN = {
+    "platform": f"lower({_MODEL['platform']})",
+    "device_type": f"lower({_MODEL['device_type']})",
+    "country": "upper(nation)",
+    "event_date": "to_date(time)",
+}
+_DIRTY = {
+    "user_id": f"if(raw_id % 50 = 7, NULL, {_MODEL['user_id']})",
+    "event_type": f"""CASE WHEN raw_id % 50 = 17 THEN '{UNKNOWN_TYPE}' WHEN raw_id % 997 = 5 THEN NULL
+        ELSE {_MODEL['event_type']} END""",
+    "event_timestamp": f"""CASE raw_id % 50 WHEN 11 THEN '{BAD_TIMESTAMP}' WHEN 23 THEN '{FUTURE_TIMESTAMP}'
+        ELSE date_format(time + make_dt_interval(0, 0, 0, delay), "{TEXT_FORMAT}") END""",
+    "revenue": f"if(raw_id % 50 = 13, -5.0D, {_MODEL['revenue']})",
+}
+
+
+def _columns(names: Iterable[str], *layers: dict[str, str]) -> list[str]:
+    expressions = {name: text for layer in layers for name, text in layer.items()}
+    return [f"{expressions[name]} AS {name}" for name in names]
+
+
+def _raw_events(spark: SparkSession, sf_dir: str, with_country: bool) -> DataFrame:
+    events = _parquet(spark, sf_dir, "events").selectExpr(
+        "event_id AS raw_id",
+        "user_id AS raw_user",
+        "CAST(ts AS TIMESTAMP) AS time",
+        "event_type AS kind",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    country = F.lit(None).cast("string")
-    if with_country:
-        nations = _parquet(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation")
-        )
-        homes = (
-            _parquet(spark, sf_dir, "customer")
-            .join(nations, "c_nationkey", "left")
-            .select(F.col("c_custkey").alias("raw_user"), "nation")
-        )
-        raw = raw.join(homes, "raw_user", "left")
-        country = F.col("nation")
-    kind, k, user = F.col("kind"), F.col("k"), F.col("raw_user")
-    purchase = kind == "purchase"
-    event_type = (
-        F.when(kind == "signup", "user_signup")
-        .when(kind == "view", "profile_view")
-        .when(kind == "click", F.when(k % 2 == 0, "post_created").otherwise("post_liked"))
-        .when(purchase, _by_remainder(k, "subscription_started", "purchase_completed", "subscription_cancelled"))
-        .when(kind == "error", "app_error")
-    )
-    day, quarter = F.date_format("time", "yyyyMMdd"), F.floor(F.hour("time") / 6).cast("string")
-    none = F.lit(None).cast("string")
-    return raw.select(
-        "raw_id",
-        "time",
-        F.concat(F.lit("evt_"), F.col("raw_id").cast("string")).alias("event_id"),
-        F.concat(F.lit("user_"), user.cast("string")).alias("user_id"),
-        F.concat_ws("_", F.lit("sess"), user.cast("string"), day, quarter).alias("session_id"),
-        event_type.alias("event_type"),
-        _by_remainder(user, "iOS", "Android", "Web").alias("platform"),
-        _by_remainder(user, "Mobile", "Mobile", "Desktop").alias("device_type"),
-        country.alias("country"),
-        F.lit("Springfield").alias("city"),
-        F.lit("2.4.1").alias("app_version"),
-        F.concat(F.lit("page_"), (k % 7).cast("string")).alias("page"),
-        F.when(k % 10 != 0, F.concat(F.lit("feature_"), (k % 10).cast("string"))).alias("feature"),
-        none.alias("post_id"),
-        none.alias("creator_id"),
-        F.when(~purchase, F.floor("value").cast("int")).alias("duration_seconds"),
-        F.when(purchase & (k % 3 != 2), F.col("value")).otherwise(F.lit(0.0)).alias("revenue"),
-        F.struct(
-            _by_remainder(user, "A", "B", "C").alias("experiment_group"), F.lit("organic").alias("referrer")
-        ).alias("metadata"),
+    if not with_country:
+        return events.selectExpr("*", "CAST(NULL AS STRING) AS nation")
+    nations = _parquet(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS nation")
+    homes = (
+        _parquet(spark, sf_dir, "customer").join(nations, "c_nationkey", "left").selectExpr("c_custkey AS raw_user", "nation")
     )
+    return events.join(homes, "raw_user", "left")
 
 
 def silver_events(spark: SparkSession, sf_dir: str, with_country: bool = False) -> DataFrame:
     """The events as a silver table: platform and country standardised, dates derived."""
-    derived = {
-        "event_timestamp": F.col("time"),
-        "event_date": F.to_date("time"),
-        "platform": F.lower("platform"),
-        "device_type": F.lower("device_type"),
-        "country": F.upper("country"),
-    }
-    return _events(spark, sf_dir, with_country).withColumns(derived).select(*SILVER.fieldNames())
+    columns = _columns(SILVER.fieldNames(), _MODEL, _CLEAN)
+    return _raw_events(spark, sf_dir, with_country).selectExpr(*columns)
 
 
 def bronze_events(spark: SparkSession, sf_dir: str, with_country: bool = True) -> DataFrame:
-    """The events as raw bronze rows, with the documented kinds of dirt worked in."""
-    events = _events(spark, sf_dir, with_country)
-    spot = F.col("raw_id") % 50
-    copies = F.when(spot == 19, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
-    delayed = F.col("time") + F.make_dt_interval(secs=F.col("delay"))
-    dirty = {
-        "user_id": F.when(spot != 7, F.col("user_id")),
-        "event_type": F.when(spot == 17, F.lit(UNKNOWN_TYPE)).when(F.col("raw_id") % 997 != 5, F.col("event_type")),
-        "event_timestamp": F.when(spot == 11, F.lit(BAD_TIMESTAMP))
-        .when(spot == 23, F.lit(FUTURE_TIMESTAMP))
-        .otherwise(F.date_format(delayed, TEXT_FORMAT)),
-        "revenue": F.when(spot == 13, F.lit(-5.0)).otherwise(F.col("revenue")),
-    }
-    return events.withColumn("delay", F.explode(copies)).withColumns(dirty).select(*EVENT_COLUMNS)
+    """The events as raw bronze rows, with the documented kinds of dirt worked in.
+
+    Delayed copies come from the same scan: a duplicated event explodes into delays 0 and 5.
+    """
+    delays = "explode(if(raw_id % 50 = 19, array(0, 5), array(0))) AS delay"
+    columns = _columns(EVENT_COLUMNS, _MODEL, _DIRTY)
+    return _raw_events(spark, sf_dir, with_country).selectExpr("*", delays).selectExpr(*columns)
 
 
 def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates as user activity: a second spine that spans years."""
-    return _parquet(spark, sf_dir, "orders").select(
-        F.concat(F.lit("user_"), F.col("o_custkey").cast("string")).alias("user_id"),
-        F.to_date("o_orderdate").alias("event_date"),
-    )
+    orders = _parquet(spark, sf_dir, "orders")
+    return orders.selectExpr("concat('user_', o_custkey) AS user_id", "to_date(o_orderdate) AS event_date")
