@@ -36,7 +36,7 @@ FRESHNESS_CHECKS = (
     "required_partitions_exist",
 )
 
-# What each counting check says about the rows it found.
+# What each check says about what it found.
 FOUND = {
     "no_null_event_ids": "rows with null/empty event_id",
     "no_duplicate_event_ids": "duplicate event_id rows",
@@ -45,6 +45,9 @@ FOUND = {
     "revenue_not_negative": "rows with negative revenue",
 }
 TOO_FEW_DAYS = "not enough days of data to evaluate"
+VOLUME_FOUND = "latest=%d, trailing_avg=%.1f, drop_pct=%.1f%%"
+DATES_FOUND = "distinct event_date partitions found"
+UNREADABLE = "could not read silver table"
 
 
 def _check_row(name: str, passed: Column, detail: Column) -> Column:
@@ -99,7 +102,7 @@ def day_checks(
         F.sum("unknown_types").alias("unknown_types"),
         F.sum("in_future").alias("in_future"),
         F.sum("negative").alias("negative"),
-        F.count("event_date").alias("dates"),
+        F.count("*").alias("dates"),
         newest("events").alias("latest"),
         newest("trailing_avg").alias("trailing_avg"),
         present.alias("expected_present"),
@@ -109,7 +112,7 @@ def day_checks(
     steady = F.when(average > 0, drop < drop_threshold).otherwise(F.lit(True))
     volume_detail = F.when(
         average > 0,
-        F.format_string("latest=%d, trailing_avg=%.1f, drop_pct=%.1f%%", latest, average, drop * 100),
+        F.format_string(VOLUME_FOUND, latest, average, drop * 100),
     ).otherwise(F.lit(TOO_FEW_DAYS))
     rows = F.array(
         _counting_check("valid_event_types_only", F.col("unknown_types")),
@@ -119,7 +122,7 @@ def day_checks(
         _check_row(
             "required_partitions_exist",
             (F.col("dates") > 0) & F.col("expected_present"),
-            F.concat(F.col("dates").cast("string"), F.lit(" distinct event_date partitions found")),
+            F.concat(F.col("dates").cast("string"), F.lit(" " + DATES_FOUND)),
         ),
     )
     return totals.select(F.inline(rows))

@@ -236,7 +236,7 @@ def check_silver(spark: SparkSession, silver_path: str, subset: str = "all", mod
     """The same for a silver path; an unreadable table fails its partition check."""
     silver = _read_if_present(spark, silver_path)
     if silver is None:
-        detail = f"could not read silver table: nothing at {silver_path}"
+        detail = f"{quality.UNREADABLE}: nothing at {silver_path}"
         missing = [{"name": "required_partitions_exist", "passed": False, "detail": detail}]
         return _conclude(missing, _SUBSETS[subset][1], mode)
     return run_checks(silver, subset, mode, **options)

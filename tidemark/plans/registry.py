@@ -147,8 +147,7 @@ def _raw_as_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checks_on_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = _raw_as_silver(spark, sf_dir).filter("event_date IS NOT NULL")
-    return quality.all_checks(dated, as_of=testtables.AS_OF)
+    return quality.all_checks(_raw_as_silver(spark, sf_dir), as_of=testtables.AS_OF)
 
 
 QUERIES: dict[str, Query] = {
