@@ -117,6 +117,26 @@ def test_clean_writes_partitions_and_reports(spark, tmp_path):
     assert again == report and lake.read_silver(spark, str(tmp_path / "silver")).count() == 15
 
 
+def test_partitioned_write_splits_a_hot_date_and_keeps_others_whole(spark, tmp_path):
+    df = spark.range(0, 60_000, 1, 4).selectExpr(
+        "concat('u', id % 7) AS user_id",
+        "uuid() AS event_id",
+        "IF(id % 3 = 0, DATE '2024-01-01', date_add(DATE '2024-01-02', int(id % 9))) AS event_date",
+    )
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lake.write_by_date(df, str(tmp_path / "t"), ("user_id", "event_id"))
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("event_date=*")}
+    assert files["event_date=2024-01-01"] >= 4
+    assert len(files) == 7 and sum(files.values()) <= 12 + len(files)
+    assert lake.read_silver(spark, str(tmp_path / "t")).count() == 60_000
+
+
 def full_rebuild(spark, bronze):
     return clean_events(lake.read_bronze(spark, bronze), AS_OF)
 
@@ -227,6 +247,7 @@ def test_gold_by_name_views_and_external_tables(spark, tmp_path):
     for _ in range(2):
         lake.write_gold(spark.createDataFrame(row, GOLD["daily_user_metrics"]), f"{gold}/daily_user_metrics")
     assert lake.load_gold(spark, gold, "daily_user_metrics").count() == 2
+    assert len(list(Path(gold, "daily_user_metrics").glob("*.parquet"))) == 1
     lake.register_gold_views(spark, gold)
     newest = "SELECT event_date, daily_active_users FROM daily_user_metrics ORDER BY event_date DESC LIMIT 1"
     assert spark.sql(newest).collect()[0] == (date(2024, 1, 6), 3)

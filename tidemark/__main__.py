@@ -60,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     command("register", "gold-root", help="external catalog tables over the metric tables")
     land = command("land", "input", "output", "checkpoint", help="stream arriving events into bronze")
     land.add_argument("--quarantine")
+    land.add_argument("--max-files-per-trigger", type=int)
     land.add_argument("--once", action="store_true", help="stop when caught up")
     return parser
 
@@ -93,7 +94,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         create_gold_tables(spark, args.gold_root)
     elif args.job == "land":
         trigger = landing.UNTIL_CAUGHT_UP if args.once else landing.EVERY_FLUSH
-        arriving = landing.read_event_stream(spark, args.input)
+        arriving = landing.read_event_stream(spark, args.input, args.max_files_per_trigger)
         landing.land_events(arriving, args.output, f"{args.checkpoint}/accepted", trigger=trigger)
         if args.quarantine:
             landing.quarantine_events(arriving, args.quarantine, f"{args.checkpoint}/rejected", trigger=trigger)

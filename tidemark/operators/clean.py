@@ -81,9 +81,13 @@ def tag_events(
 
 
 def earliest_per_id(events: DataFrame, key: str, time: str) -> DataFrame:
-    """One row per ``key``: the earliest by ``time``, ties settled by the row's content."""
+    """One row per ``key``: the earliest by ``time``, ties settled by the row's content.
+
+    Leading with the hash settles most comparisons of the sort on its 8-byte prefix, where
+    ids sharing their first characters would not be.
+    """
     content = [c for c in events.columns if c not in (key, time)]
-    order = Window.partitionBy(key).orderBy(time, *content)
+    order = Window.partitionBy(F.xxhash64(key), key).orderBy(time, *content)
     return events.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").drop("_copy")
 
 

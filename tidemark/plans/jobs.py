@@ -28,7 +28,15 @@ from tidemark.operators.revenue import revenue_from_user_days
 from tidemark.operators.user_days import user_days
 from tidemark.schema import ANOMALY_THRESHOLD, ANOMALY_WINDOW
 from tidemark.session import shuffles_sized_for
-from tidemark.sources.lake import gold_path, load_gold, read_bronze, read_silver, write_by_date, write_gold
+from tidemark.sources.lake import (
+    SILVER_ORDER,
+    gold_path,
+    load_gold,
+    read_bronze,
+    read_silver,
+    write_by_date,
+    write_gold,
+)
 
 Day = date | str
 
@@ -75,13 +83,15 @@ def _staging_path(spark: SparkSession, beside: str) -> str:
     return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
-def _replace_dates(spark: SparkSession, fresh: DataFrame, filled: set[date], path: str, scope: Column) -> None:
+def _replace_dates(
+    spark: SparkSession, fresh: DataFrame, filled: set[date], path: str, cluster_by: tuple[str, ...], scope: Column
+) -> None:
     """Make a table hold exactly ``fresh`` on the dates of ``scope``.
 
     Dates in ``filled`` are overwritten; other dates of the scope lose their partition.
     """
     before = _dates(_read_if_present(spark, path), scope)
-    write_by_date(fresh, path, only_touched_dates=True)
+    write_by_date(fresh, path, cluster_by, only_touched_dates=True)
     for day in sorted(before - filled):
         _delete(spark, f"{path.rstrip('/')}/event_date={day.isoformat()}")
 
@@ -124,7 +134,7 @@ def clean_bronze(
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path)
     with shuffles_sized_for(bronze):
-        write_by_date(clean_events(bronze, now), silver_path)
+        write_by_date(clean_events(bronze, now), silver_path, SILVER_ORDER)
         return _as_dict(quality_report(bronze, now))
 
 
@@ -173,7 +183,7 @@ def _replace_silver(
     staging = _staging_path(spark, silver_path)
 
     def staged(name: str, df: DataFrame) -> DataFrame:
-        write_by_date(df, f"{staging}/{name}")
+        df.write.parquet(f"{staging}/{name}")
         return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
 
     try:
@@ -191,7 +201,7 @@ def _replace_silver(
                 kept = staged("kept", on_those_dates.join(displaced, "event_id", "left_anti"))
                 fresh = fresh.unionByName(kept)
         scope = _within(start, end, later_dates)
-        _replace_dates(spark, fresh, _dates(fresh, scope), silver_path, scope)
+        _replace_dates(spark, fresh, _dates(fresh, scope), silver_path, SILVER_ORDER, scope)
         return later_dates
     finally:
         _delete(spark, staging)
@@ -252,7 +262,12 @@ def _conclude(checks: list[dict], label: str, mode: str) -> QualityRun:
 
 # --- silver to gold ---------------------------------------------------------------------
 
-ROLLUPS = {"user_days": user_days, "session_days": session_days, "feature_days": feature_days}
+# name -> (builder from silver events, order within a date)
+ROLLUPS = {
+    "user_days": (user_days, ("user_id",)),
+    "session_days": (session_days, ()),
+    "feature_days": (feature_days, ("feature",)),
+}
 
 
 def rollup_path(gold_root: str, name: str) -> str:
@@ -271,16 +286,16 @@ def refresh_rollups(
     silver = read_silver(spark, silver_path)
     if start_date is None and end_date is None:
         with shuffles_sized_for(silver):
-            for name, build in ROLLUPS.items():
-                write_by_date(build(silver), rollup_path(gold_root, name))
+            for name, (build, order) in ROLLUPS.items():
+                write_by_date(build(silver), rollup_path(gold_root, name), order)
         return
     scope = _within(*checked_range(start_date, end_date), also)
     filled = _dates(silver, scope)
     chosen = silver.filter(scope)
     with shuffles_sized_for(chosen):
-        for name, build in ROLLUPS.items():
+        for name, (build, order) in ROLLUPS.items():
             # Every rollup has a row on every date with events, so silver's dates are theirs.
-            _replace_dates(spark, build(chosen), filled, rollup_path(gold_root, name), scope)
+            _replace_dates(spark, build(chosen), filled, rollup_path(gold_root, name), order, scope)
 
 
 def build_gold(

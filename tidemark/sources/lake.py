@@ -15,6 +15,9 @@ from tidemark.schema import BRONZE_WITH_CORRUPT, CORRUPT, GOLD
 BRONZE_LEVELS = ("year", "month", "day", "hour")
 EVENTS_PER_FILE = 50_000
 
+# How silver rows lie within a date. The last columns let even one user's day be split.
+SILVER_ORDER = ("user_id", "event_timestamp", "event_id")
+
 
 def read_bronze(
     spark: SparkSession,
@@ -87,17 +90,18 @@ def read_silver(
 
 
 def write_by_date(
-    df: DataFrame, path: str, only_touched_dates: bool = False, cluster_by: tuple[str, ...] = ("user_id",)
+    df: DataFrame, path: str, cluster_by: tuple[str, ...] = (), only_touched_dates: bool = False
 ) -> None:
     """Overwrite a table partitioned by ``event_date``: all of it, or just the dates in ``df``.
 
-    The rebalance keeps files per date few, and splits a date that holds far more than others.
-    A partitioned write sorts by the partition column anyway; the ``cluster_by`` columns the
-    table has extend that sort, so that their values compress into runs.
+    Rows are range-partitioned by date and ``cluster_by``, so files come out evenly sized: a
+    hot date spreads over many tasks, and at most one task holds the border of two dates.
+    Within a date, rows of one user lie together, which lets later aggregations by user
+    combine nearly everything before their shuffle.
     """
-    order = ["event_date", *[c for c in cluster_by if c in df.columns]]
+    order = ("event_date", *cluster_by)
     (
-        df.hint("rebalance", "event_date")
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if only_touched_dates else "static")
