@@ -54,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     check.add_argument("--subset", choices=("all", "schema", "freshness"), default="all")
     check.add_argument("--block", action="store_true", help="fail the run if any check fails")
     command("run", "input", "silver-path", "gold-root", help="clean, check, roll up and rebuild every metric table")
+    command("gold", "silver-path", "gold-root", help="roll up and rebuild every metric table from silver")
     command(
         "backfill", "input", "silver-path", "gold-root", "start-date", "end-date", help="redo a date range end to end"
     )
@@ -87,6 +88,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "run":
         report, checks = jobs.run_daily(spark, args.input, args.silver_path, args.gold_root)
         print(json.dumps({**report, "quality": checks.summary}))
+    elif args.job == "gold":
+        jobs.rebuild_gold(spark, args.silver_path, args.gold_root)
     elif args.job == "backfill":
         paths = (args.input, args.silver_path, args.gold_root)
         print(json.dumps(jobs.run_backfill(spark, *paths, args.start_date, args.end_date)))

@@ -282,9 +282,13 @@ def refresh_rollups(
     end_date: Day | None = None,
     also: set[date] = frozenset(),
 ) -> None:
-    """Rebuild the rollups: all of them, or only the dates of a range and those in ``also``."""
+    """Rebuild the rollups: all of them, or only the dates of a range and those in ``also``.
+
+    A range needs rollups that already cover the other dates; where one is missing, all are built.
+    """
     silver = read_silver(spark, silver_path)
-    if start_date is None and end_date is None:
+    missing = any(_read_if_present(spark, rollup_path(gold_root, name)) is None for name in ROLLUPS)
+    if missing or (start_date is None and end_date is None):
         with shuffles_sized_for(silver):
             for name, (build, order) in ROLLUPS.items():
                 write_by_date(build(silver), rollup_path(gold_root, name), order)
@@ -325,6 +329,12 @@ def build_gold(
     write_gold(report, gold_path(gold_root, "anomaly_detection"))
 
 
+def rebuild_gold(spark: SparkSession, silver_path: str, gold_root: str) -> None:
+    """Rollups and metric tables from all of silver, for use after silver changed by other means."""
+    refresh_rollups(spark, silver_path, gold_root)
+    build_gold(spark, gold_root)
+
+
 def run_daily(
     spark: SparkSession,
     bronze_path: str | list[str],
@@ -335,8 +345,7 @@ def run_daily(
     """Clean everything, stop if a quality check fails, then rebuild rollups and metric tables."""
     report = clean_bronze(spark, bronze_path, silver_path, as_of)
     checks = check_silver(spark, silver_path, mode="raise", as_of=as_of)
-    refresh_rollups(spark, silver_path, gold_root)
-    build_gold(spark, gold_root)
+    rebuild_gold(spark, silver_path, gold_root)
     return report, checks
 
 
