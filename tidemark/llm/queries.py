@@ -9,22 +9,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encode_digest
+from tidemark.llm.chat import chat_digest
+from tidemark.llm.decontaminate import contamination_digest
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_digest
 
 TOKEN_LIMIT = 4096
 END_ID = 2
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    roles = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
+    own = spark.range(1).select(roles.alias("r")).select(F.lit(-1).cast("long").alias("conv_id"), F.col("r.turn").cast("long").alias("turn"), "r.role", F.lit(CONTROL_TEXT).alias("text"))
+    return chat_digest(turns.unionByName(own))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,6 +48,46 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op8_bpe, op9_token_files)
+    f.__name__: f for f in (op2_chat_format, op5_token_counts, op7_decontaminate, op8_bpe, op9_token_files)
 }
-ORACLE_SQL: dict[str, str] = {}
+
+OP2_SQL = r"""
+WITH every AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) AS r(k)
+), turns AS (
+  SELECT *, length(regexp_replace(text, '(<</?SYS>>|\[/?INST\]|</?s>|\[/?ROLE\])', '\\\1', 'g'))
+    + CASE role WHEN 'system' THEN 7 + 8 WHEN 'user' THEN 6 + 7 WHEN 'assistant' THEN 3 + 4 END + 3 AS size,
+    CASE WHEN turn_before IS NULL THEN role IN ('system', 'user') WHEN turn_before = 'user' THEN role = 'assistant' ELSE role = 'user' END AS in_order
+  FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS turn_before FROM every)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars, bool_and(in_order) AS valid
+FROM turns GROUP BY conv_id
+"""
+
+OP7_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents
+), item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(words[k : k + n - 1], ' ') AS said
+  FROM (SELECT item, words, least(10, len(words)) AS n, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS k FROM item_words WHERE len(words) > 0)
+), places AS (
+  SELECT d.doc_id, k, n, array_to_string(d.words[k : k + n - 1], ' ') AS said
+  FROM (SELECT DISTINCT n FROM windows), doc_words d, unnest(range(1, len(d.words) - n + 2)) AS r(k)
+), found AS (SELECT p.doc_id, p.k, p.n, w.item FROM places p JOIN windows w USING (n, said)),
+hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS j FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}

@@ -12,6 +12,7 @@ import functools
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ BLOCK = 1024
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 COUNTS = 60 // WIDTHS
 ESCAPE = 15
-CACHED_PIECES = 300_000
+RARE = 1e-4
+TEXT_AT_ONCE = 6 << 20
+CACHED_PIECES = 600_000
 PAGE = "shard int, page int, doc_ids array<long>, doc_tokens array<long>, n_ids long, block_words array<int>, words binary"
 
 
@@ -43,10 +46,19 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sizes[-1] = len(ids) - (blocks - 1) * BLOCK
     # choice[b, i]: the selector of most ids that can start at i; ids beyond a block's end count as 0
     choice = np.full((blocks, BLOCK), ESCAPE, np.int8)
+    limits = np.uint64(1) << WIDTHS.astype(np.uint64)
     for k in range(len(WIDTHS) - 1, -1, -1):
-        too_wide = (padded >> np.uint64(WIDTHS[k])) != 0
-        seen = np.concatenate([np.zeros((blocks, 1), np.int32), np.cumsum(too_wide, axis=1, dtype=np.int32)], axis=1)
-        choice[(seen[:, COUNTS[k] : COUNTS[k] + BLOCK] - seen[:, :BLOCK]) == 0] = k
+        fits = padded < limits[k]
+        # a selector that would hardly ever fit isn't looked for: the words stay right, with a few ids less in them
+        if fits.mean() ** COUNTS[k] < RARE:
+            continue
+        # by doubling: fits[i] for runs of 1, 2, 4, ... ids, then two overlapping runs make the full count
+        run, width = fits, 1
+        while 2 * width <= COUNTS[k]:
+            run = run[:, : run.shape[1] - width] & run[:, width:]
+            width *= 2
+        rest = COUNTS[k] - width
+        choice[run[:, :BLOCK] & run[:, rest : rest + BLOCK]] = k
     taken = np.append(COUNTS, [0] * (ESCAPE - len(COUNTS)) + [1])[choice]
     at, starts = np.zeros(blocks, np.int64), np.zeros((blocks, BLOCK), bool)
     live = np.arange(blocks)
@@ -112,15 +124,26 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        self._forget()
 
-    def _look_up(self, words: list[str]) -> list[list[int]]:
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _look_up(self, words: list[str]) -> np.ndarray:
+        """Each word's place in starts and sizes, which say where in flat its ids are."""
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHED_PIECES:
-            self.known = {}
+            self._forget()
             new = words
-        self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        return [self.known[w] for w in words]
+        if new:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))])
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has. Null counts as empty."""
@@ -130,12 +153,9 @@ class Encoder:
             whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
         data, offsets = text_bytes(pc.if_else(pa.array(whole), pa.scalar("", pa.large_string()), texts))
         found = pieces(data, offsets, join_space=True, single_numbers=False)
-        ids = self._look_up(found.words.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for own in ids for i in own), np.int64, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes
-        out = flat[gather(starts[found.codes], sizes[found.codes])] if len(ids) else flat
-        sums = np.concatenate([[0], np.cumsum(sizes[found.codes])]) if len(ids) else np.zeros(1, np.int64)
+        place = self._look_up(found.words.to_pylist())[found.codes] if len(found.codes) else np.zeros(0, np.int64)
+        out = self.flat[gather(self.starts[place], self.sizes[place])].astype(np.int64)
+        sums = np.concatenate([[0], np.cumsum(self.sizes[place])])
         counts = sums[found.first[1:]] - sums[found.first[:-1]]
         if whole.any():  # texts that hold a special string are left to the library
             parts = np.split(out, np.cumsum(counts)[:-1])
@@ -162,7 +182,7 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, shard, page = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_AT_ONCE):
             ids, counts = tool.encode(batch.column(1))
             ended = np.insert(ids, np.cumsum(counts), end_id)
             words, block_words = pack(ended)
