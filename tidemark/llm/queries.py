@@ -13,6 +13,8 @@ from tidemark.llm.chat import chat_digest
 from tidemark.llm.decontaminate import contamination_digest
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_digest
+from tidemark.llm.topk import top_k
+from tidemark.llm.toxicity import toxicity
 
 TOKEN_LIMIT = 4096
 END_ID = 2
@@ -30,6 +32,14 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(turns.unionByName(own))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -48,7 +58,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_format, op5_token_counts, op7_decontaminate, op8_bpe, op9_token_files)
+    f.__name__: f for f in (op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op7_decontaminate, op8_bpe, op9_token_files)
 }
 
 OP2_SQL = r"""
@@ -90,4 +100,16 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id))
+WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_exact_top_k": OP4_SQL, "op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
