@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import encode_digest
 from tidemark.llm.chat import chat_digest
 from tidemark.llm.decontaminate import contamination_digest
+from tidemark.llm.frames import kept
+from tidemark.llm.pii import pii_digest
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_digest
 from tidemark.llm.topk import top_k
@@ -25,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"), lambda found: kept(found, "pii"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     roles = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
@@ -58,7 +64,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op7_decontaminate, op8_bpe, op9_token_files)
+    f.__name__: f for f in (op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op7_decontaminate, op8_bpe, op9_token_files)
 }
 
 OP2_SQL = r"""

@@ -64,8 +64,11 @@ def features_of(word: str) -> list[str]:
 
 def features_in(words):
     """All features of an array of words, as a column."""
-    longer = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in BEGINNINGS]
-    return F.array_distinct(F.concat(words, *longer))
+
+    def beginnings(n: int):
+        return F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+
+    return F.array_distinct(F.concat(words, *map(beginnings, BEGINNINGS)))
 
 
 def labelled_words(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
