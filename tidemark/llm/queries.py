@@ -12,6 +12,7 @@ from tidemark.llm.bpe import encode_digest
 from tidemark.llm.chat import chat_digest
 from tidemark.llm.decontaminate import contamination_digest
 from tidemark.llm.frames import kept
+from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.pii import pii_digest
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_digest
@@ -51,6 +52,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,7 +69,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op7_decontaminate, op8_bpe, op9_token_files)
+    f.__name__: f for f in (op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate, op8_bpe, op9_token_files)
 }
 
 OP2_SQL = r"""
@@ -118,4 +123,20 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
 WHERE rank <= 20
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_exact_top_k": OP4_SQL, "op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[k : k + 2], ' ') AS said
+  FROM words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS r(k) WHERE len(words) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM shingles a JOIN shingles b USING (said) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)
+), reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT doc_id, b FROM reach JOIN links ON other = a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, low) AS component_id, doc_id = least(doc_id, low) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1) USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_near_duplicates": OP6_SQL, "op4_exact_top_k": OP4_SQL, "op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
