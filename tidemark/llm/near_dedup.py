@@ -15,7 +15,7 @@ BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
 ELEMENTS_AT_ONCE = 1 << 15
 BLOCK = 256
-MARGIN = 0.15
+MARGIN = 0.1
 FILLED = np.uint64(1 << 32)
 SPACES = [0x20, *range(0x09, 0x0E)]
 LOWER = np.arange(256, dtype=np.uint8)

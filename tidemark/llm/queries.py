@@ -14,6 +14,7 @@ from tidemark.llm.decontaminate import contamination_digest
 from tidemark.llm.frames import kept
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.pii import pii_digest
+from tidemark.llm.repeats import repeated_bytes
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_digest
 from tidemark.llm.topk import top_k
@@ -68,8 +69,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate, op8_bpe, op9_token_files)
+    f.__name__: f for f in (op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate, op8_bpe, op9_token_files, op10_repeats)
 }
 
 OP2_SQL = r"""
