@@ -54,13 +54,13 @@ def test_several_bronze_roots(spark, tmp_path):
     assert ids(clean_events(lake.read_bronze(spark, roots), AS_OF)) == ["batch", "both", "old", "stream"]
 
 
-def test_range_prunes_directories_with_a_day_of_margin(spark, tmp_path):
+def test_range_prunes_directories_with_a_day_of_margin_if_asked_to(spark, tmp_path):
     for d in range(1, 9):
         write_lines(tmp_path, event(event_id=f"d{d}", event_timestamp=at(d)), directory=f"year=2024/month=01/day={d:02d}")
-    assert ids(lake.read_bronze(spark, str(tmp_path), "2024-01-04", "2024-01-05")) == ["d3", "d4", "d5", "d6"]
-    assert ids(lake.read_bronze(spark, str(tmp_path), start_date="2024-01-08")) == ["d7", "d8"]
-    assert lake.read_bronze(spark, str(tmp_path), "2024-01-04", "2024-01-05", prune_directories=False).count() == 8
-    plan = lake.read_bronze(spark, str(tmp_path), "2024-01-04", "2024-01-05")._jdf.queryExecution().executedPlan()
+    assert ids(lake.read_bronze(spark, str(tmp_path), "2024-01-04", "2024-01-05", prune_directories=True)) == ["d3", "d4", "d5", "d6"]
+    assert ids(lake.read_bronze(spark, str(tmp_path), start_date="2024-01-08", prune_directories=True)) == ["d7", "d8"]
+    assert lake.read_bronze(spark, str(tmp_path), "2024-01-04", "2024-01-05").count() == 8
+    plan = lake.read_bronze(spark, str(tmp_path), "2024-01-04", "2024-01-05", prune_directories=True)._jdf.queryExecution().executedPlan()
     assert "make_date" in plan.toString().split("PartitionFilters")[1]
 
 

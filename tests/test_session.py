@@ -20,9 +20,8 @@ def test_shuffles_grow_with_the_input_and_are_restored(spark, monkeypatch, tmp_p
         assert 50 <= int(spark.conf.get(KEY)) <= 52
         raise RuntimeError
     assert spark.conf.get(KEY) == before
-    monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", 20)
     with session.shuffles_sized_for(table, table):
-        assert spark.conf.get(KEY) == "20"
+        assert int(spark.conf.get(KEY)) >= 100  # no ceiling
     assert session.input_bytes(table.select("event_date")) < size
 
 

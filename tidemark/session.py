@@ -9,17 +9,15 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 # Used where the cluster has not set them. Advisory size gives partitioned writes files of a
-# useful size; the split bound keeps map tasks, and with them shuffle blocks, in the thousands.
+# useful size.
 DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionNum": "100000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -63,7 +61,7 @@ def shuffles_sized_for(*inputs: DataFrame) -> Iterator[None]:
     """
     spark, key = inputs[0].sparkSession, "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes(*inputs) / BYTES_PER_SHUFFLE_PARTITION))
+    wanted = math.ceil(input_bytes(*inputs) / BYTES_PER_SHUFFLE_PARTITION)
     spark.conf.set(key, str(max(int(before), wanted)))
     try:
         yield

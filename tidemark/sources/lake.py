@@ -24,15 +24,16 @@ def read_bronze(
     path: str | list[str],
     start_date: date | str | None = None,
     end_date: date | str | None = None,
-    prune_directories: bool = True,
+    prune_directories: bool = False,
 ) -> DataFrame:
     """Raw events from NDJSON files under a root, a glob, or several of these together.
 
     The schema is given, so nothing is inferred; lines that do not parse keep their text in
-    ``_corrupt_record``. With a date range and a ``year=/month=/day=`` layout under the root,
-    only the directories from one day before to one day after the range are read: local UTC
-    offsets and sessions crossing midnight move an event by less than a day. This does not
-    filter rows; the cleaning job does, from the parsed timestamps.
+    ``_corrupt_record``. All directories are read whatever the date range, since an event may lie
+    under the hour of its landing; the cleaning job filters rows by their parsed timestamps.
+    ``prune_directories`` is for lakes known to keep events under their own date: with a date range
+    and a ``year=/month=/day=`` layout, only directories from one day before to one day after the
+    range are read, and those without a date.
     """
     if not isinstance(path, str):
         roots = [read_bronze(spark, root, start_date, end_date, prune_directories) for root in path]
@@ -41,9 +42,9 @@ def read_bronze(
     if prune_directories and set(BRONZE_LEVELS[:3]) <= set(raw.columns):
         directory = F.make_date("year", "month", "day")
         if start_date is not None:
-            raw = raw.filter(directory >= F.lit(parse_date(start_date) - timedelta(days=1)))
+            raw = raw.filter(directory.isNull() | (directory >= F.lit(parse_date(start_date) - timedelta(days=1))))
         if end_date is not None:
-            raw = raw.filter(directory <= F.lit(parse_date(end_date) + timedelta(days=1)))
+            raw = raw.filter(directory.isNull() | (directory <= F.lit(parse_date(end_date) + timedelta(days=1))))
     return raw.select(*BRONZE_WITH_CORRUPT.fieldNames())
 
 
