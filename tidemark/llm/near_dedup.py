@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import gather, kept, slices, text_bytes
+from tidemark.llm.frames import kept, slices, text_bytes
 
-BANDS, ROWS = 40, 6
-SLOTS = BANDS * ROWS
+BANDS, ROWS = 32, 5
+SLOTS = 240  # the first BANDS * ROWS also make up the bands
 ELEMENTS_AT_ONCE = 1 << 15
-BLOCK = 256
+BLOCK = 1024
 MARGIN = 0.1
 FILLED = np.uint64(1 << 32)
 SPACES = [0x20, *range(0x09, 0x0E)]
@@ -122,30 +122,25 @@ def _described(column: pa.Array, size: int) -> list[pa.Array]:
     best = signatures(shingles, first)
     sums = [np.concatenate([[np.uint64(0)], np.cumsum(mixed(shingles, 100 + k))]) for k in (0, 1)]
     keys = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
-    bands = np.zeros((len(n), BANDS), np.uint64)
-    for row in range(ROWS):
-        bands = mixed(bands * np.uint64(31) + best[:, row::ROWS])
-    bands = mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
     short = (mixed(best) & np.uint64(0xFF)).astype(np.uint8)
     has = n > 0
     return [
         pa.array(n),
         pa.array(keys[0]),
         pa.array(keys[1]),
-        pa.array([b if h else None for b, h in zip(bands, has)], pa.list_(pa.int64())),
         pa.array([s.tobytes() if h else None for s, h in zip(short, has)], pa.binary()),
     ]
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (size of the set), k1 and k2 (its 128-bit key), bands, short (a byte for each slot)."""
+    """doc_id, n (size of the set), k1 and k2 (its 128-bit key), short (a byte for each slot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_described(batch.column(1), size)], ["doc_id", "n", "k1", "k2", "bands", "short"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_described(batch.column(1), size)], ["doc_id", "n", "k1", "k2", "short"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return read.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary")
+    return read.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, short binary")
 
 
 def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -157,27 +152,36 @@ def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+def _alike_sets(left: bytes, right: bytes, percent: int) -> bool:
+    left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    both = int(np.isin(left, right, assume_unique=True).sum())
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """id, elements (the sorted shingle hashes of the whole text) of the documents in ids (id)."""
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             shingles, first = shingle_sets(batch.column(1), size)
             data = [shingles[i:j].tobytes() for i, j in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "elements"])
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    texts = texts.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
+    return kept(texts.mapInArrow(run, "id long, elements binary"), "sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                left, right = (np.frombuffer(batch.column(c)[k].as_py(), np.uint64) for c in (2, 3))
-                both = np.isin(left, right, assume_unique=True).sum()
-                good[k] = 100 * both >= percent * (len(left) + len(right) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
+            left, right = batch.column(2), batch.column(3)
+            good = [_alike_sets(left[k].as_py(), right[k].as_py(), percent) for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).join(ends, "id", "left_semi")
-    sets = kept(texts.mapInArrow(sets_of, "id long, elements binary"), "sets")
+    sets = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), size)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("left")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("right")), "b")
     return both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long").distinct()
@@ -202,25 +206,8 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _within_buckets(least: float, percent: int):
-    """Candidate pairs of different components inside each group of at most 2 * BLOCK rows; rows come sorted by group."""
-
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        group = table.column("g").to_numpy()
-        ids, comp, n = (table.column(c).to_numpy() for c in ("id", "component", "n"))
-        short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint8).reshape(-1, SLOTS)
-        edges = np.flatnonzero(np.diff(group)) + 1
-        out_a, out_b = [], []
-        for low, high in zip([0, *edges], [*edges, len(group)]):
-            for i in range(low, high - 1):
-                rest = slice(i + 1, high)
-                other = (comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
-                where = i + 1 + np.flatnonzero(other)
-                where = where[(short[where] == short[i]).mean(axis=1) >= least] if len(where) else where
-                out_a.append(np.minimum(ids[where], ids[i]))
-                out_b.append(np.maximum(ids[where], ids[i]))
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
+def _by_group(work) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """work applied to tables of whole groups; rows come sorted by group g, a group has at most a few BLOCKs of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None
@@ -230,24 +217,96 @@ def _within_buckets(least: float, percent: int):
             if not table.num_rows:
                 continue
             group = table.column("g").to_numpy()
-            cut = int(np.flatnonzero(group != group[-1])[-1]) + 1 if (group != group[-1]).any() else 0
+            cut = int(np.searchsorted(group, group[-1]))
             if cut:
-                yield from pairs(table.slice(0, cut))
+                yield from work(table.slice(0, cut))
             waiting = table.slice(cut)
         if waiting is not None and waiting.num_rows:
-            yield from pairs(waiting)
+            yield from work(waiting)
 
     return run
 
 
+class _Groups:
+    """Rows of some groups, and for a row the later rows of its group that it has to be compared with there."""
+
+    def __init__(self, table: pa.Table, least: float, percent: int):
+        group = table.column("g").to_numpy()
+        self.ids, self.own, self.n, self.band = (table.column(c).to_numpy() for c in ("id", "own", "n", "band"))
+        self.short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        self.least, self.percent = least, percent
+        edges = np.flatnonzero(np.diff(group)) + 1
+        self.spans = list(zip([0, *edges], [*edges, len(group)]))
+
+    def partners(self, i: int, high: int, root: np.ndarray, two_blocks: bool) -> np.ndarray:
+        """Rows of another component and, where blocks meet, of the other block; likely by their signatures.
+
+        Each pair is taken in the first band that it shares, where it meets exactly once.
+        """
+        rest = slice(i + 1, high)
+        n = self.n[rest]
+        good = (root[rest] != root[i]) & (100 * np.minimum(n, self.n[i]) >= self.percent * np.maximum(n, self.n[i]))
+        if two_blocks:
+            good &= self.own[rest] != self.own[i]
+        where = i + 1 + np.flatnonzero(good)
+        if not len(where):
+            return where
+        same = self.short[where] == self.short[i]
+        near = np.count_nonzero(same, axis=1) >= self.least * SLOTS
+        where, same = where[near], same[near]
+        return where[same[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band[i]]
+
+
+def _likely_rows(least: float, percent: int):
+    """Rows that have a likely partner in their group, all columns as they are."""
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        groups = _Groups(table, least, percent)
+        component = table.column("component").to_numpy()
+        found = np.zeros(table.num_rows, bool)
+        for low, high in groups.spans:
+            two_blocks = bool((groups.own[low:high] != groups.own[low]).any())
+            for i in range(low, high - 1):
+                where = groups.partners(i, high, component, two_blocks)
+                found[where] = True
+                found[i] |= len(where) > 0
+        yield from table.filter(pa.array(found)).combine_chunks().to_batches()
+
+    return _by_group(work)
+
+
+def _joining_links(least: float, percent: int):
+    """Links confirmed on full sets that join components of a group: at most one for each row."""
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        groups = _Groups(table, least, percent)
+        root = table.column("component").to_numpy().copy()
+        elements = table.column("elements")
+        links = []
+        for low, high in groups.spans:
+            two_blocks = bool((groups.own[low:high] != groups.own[low]).any())
+            for i in range(low, high - 1):
+                for j in groups.partners(i, high, root, two_blocks):
+                    if root[i] != root[j] and _alike_sets(elements[i].as_py(), elements[j].as_py(), percent):
+                        links.append((int(groups.ids[i]), int(groups.ids[j])))
+                        part = root[low:high]
+                        part[part == root[j]] = root[i]
+        a, b = zip(*links) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return _by_group(work)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept, for every row of docs.
 
     Documents are linked if 100 * intersection >= percent * union of their sets of `size`-word
     shingles. Equal sets form a class, and only one document of a class goes further. Classes that
     share a band are first compared with the smallest of their bucket; then all that are still in
-    different components of one bucket, in blocks, by signature and on full sets. A pair above the
-    threshold shares no band with a probability under 1e-5 at 80, 1e-8 at 85 percent.
+    different components of one bucket, in blocks, by signature, and those that are likely pairs on
+    full sets. A block gives only links that join components, so a group of n copies never makes
+    more than about n rows. A pair above the threshold shares no band with a probability under 1e-5
+    at 80, 1e-8 at 85 percent.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an id belong
     together. A row of null id is kept and has no component. An empty table gives no rows.
@@ -255,38 +314,47 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     told = kept(described(docs, size), "signatures")
     classes = told.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
     classes = kept(classes, "classes")
-    reps = told.join(classes.withColumnRenamed("id", "doc_id"), ["k1", "k2", "doc_id"]).where("n > 0")
-    reps = kept(reps.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "bands", "short"), "representatives")
+    reps = told.join(classes.withColumnRenamed("id", "doc_id"), ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2", "doc_id"])
+    reps = kept(reps.select(F.col("doc_id").alias("id"), "n", "short"), "representatives")
     least = percent / 100 - MARGIN
-    fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
 
-    rows = reps.select("id", "n", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("id", "n")).alias("first")).where("members > 1")
-    buckets = kept(buckets.select("key", "members", F.col("first.id").alias("first"), F.col("first.n").alias("m")), "buckets")
-    shared = kept(rows.join(buckets, "key"), "shared")
-    stars = shared.where((F.col("id") != F.col("first")) & fits).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(reps.select(F.col("id").alias("a"), F.col("short").alias("left")), "a")
-        both = left.join(reps.select(F.col("id").alias("b"), F.col("short").alias("right")), "b").select("a", "b", "left", "right")
-        return both.mapInArrow(lambda batches: _alike(batches, least), "a long, b long")
-
-    links = kept(verified(kept(likely(stars), "candidates"), docs, size, percent), "links")
+    # the low six bits of a key say which band it is of
+    band = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda b: F.shiftleft(F.xxhash64(b, F.substring("short", b * ROWS + 1, F.lit(ROWS))), 6).bitwiseOR(b.cast("long")),
+    )
+    rows = reps.select("id", F.explode(band).alias("key"))
+    buckets = rows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    shared = kept(rows.join(kept(buckets.select("key", "first"), "buckets"), "key"), "shared")
+    stars = shared.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+
+    left = stars.join(reps.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("short").alias("left")), "a")
+    both = left.join(reps.select(F.col("id").alias("b"), "n", F.col("short").alias("right")), "b")
+    both = both.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("a", "b", "left", "right")
+    candidates = kept(both.mapInArrow(lambda batches: _alike(batches, least), "a long, b long").distinct(), "candidates")
+    links = kept(verified(candidates, docs, size, percent), "links")
     found = components(links)
 
-    labelled = shared.select("key", "id", "n", "members").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    labelled = shared.select("key", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    spread = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
     # a bucket of one component is done; a bucket of many members is compared block by block
     blocks = F.ceil(F.col("members") / BLOCK)
-    open_rows = labelled.join(mixed_keys, "key").withColumn("own", F.pmod(F.xxhash64("id"), blocks))
+    open_rows = labelled.join(spread.where("low < high").select("key", "members"), "key")
+    open_rows = open_rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks))
     open_rows = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g")
-    open_rows = open_rows.select("id", "component", "n", group).join(reps.select("id", "short"), "id")
-    dealt = open_rows.select("g", "id", "component", "n", "short").repartition("g").sortWithinPartitions("g")
-    more = kept(dealt.mapInArrow(_within_buckets(least, percent), "a long, b long").distinct(), "candidates")
-    if not more.isEmpty():
-        links = kept(links.union(verified(more, docs, size, percent)).distinct(), "links")
-        found = components(links)
+    open_rows = open_rows.select(group, F.col("key").bitwiseAND(F.lit(63)).alias("band"), "own", "id", "component")
+    open_rows = open_rows.join(reps, "id").select("g", "band", "own", "id", "component", "n", "short")
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("g").sortWithinPartitions("g")
+
+    likely = kept(dealt(open_rows).mapInArrow(_likely_rows(least, percent), open_rows.schema), "likely")
+    if not likely.isEmpty():
+        with_sets = likely.join(full_sets(docs, likely.select("id"), size), "id")
+        with_sets = dealt(with_sets.select(*likely.columns, "elements"))
+        more = with_sets.mapInArrow(_joining_links(least, percent), "a long, b long").distinct()
+        found = components(kept(links.union(more), "links"))
 
     named = classes.join(found, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
     out = told.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
