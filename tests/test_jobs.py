@@ -50,7 +50,7 @@ def test_several_bronze_roots(spark, tmp_path):
         write_lines(tmp_path / name, event(event_id="old", event_timestamp=at(1)), directory="year=2024/month=01/day=01")
     roots = [str(tmp_path / "batch"), str(tmp_path / "stream")]
     assert lake.read_bronze(spark, roots).count() == 6
-    assert ids(lake.read_bronze(spark, roots, start_date="2024-01-05")) == ["batch", "both", "both", "stream"]
+    assert ids(lake.read_bronze(spark, roots, start_date="2024-01-05", prune_directories=True)) == ["batch", "both", "both", "stream"]
     assert ids(clean_events(lake.read_bronze(spark, roots), AS_OF)) == ["batch", "both", "old", "stream"]
 
 
@@ -334,3 +334,16 @@ def test_command_line_jobs(spark, tmp_path, capsys):
     call("clean", "--input", bronze, "--output", silver, "--start-date", "2024-01-01", "--end-date", "2024-01-01")
     call("gold", "--silver-path", silver, "--gold-root", f"{gold}2")
     assert_gold_matches_silver(spark, silver, f"{gold}2")
+
+
+def test_numbers_of_other_json_types(spark, tmp_path):
+    base = dict(user_id="u", session_id="s", event_type="post_liked", event_timestamp="2024-01-05T10:00:00Z")
+    given = [dict(revenue="9.99", duration_seconds=18.0), dict(revenue="-4"), dict(duration_seconds="18"), dict(revenue="much"), dict(revenue=2), dict(duration_seconds="x")]
+    lines = [json.dumps({"event_id": f"e{i}", **base, **g}) for i, g in enumerate(given)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([*lines, "{broken"]))
+    report = jobs.clean_bronze(spark, str(tmp_path / "in"), str(tmp_path / "out"), AS_OF)
+    assert (report["raw_count"], report["dropped_negative_revenue"], report["dropped_mistyped_field"]) == (7, 1, 2)
+    assert (report["dropped_bad_timestamp"], report["clean_count"]) == (1, 3)
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("event_id").collect()
+    assert [(r.event_id, r.revenue, r.duration_seconds) for r in got] == [("e0", 9.99, 18), ("e2", 0.0, 18), ("e4", 2.0, None)]

@@ -55,10 +55,12 @@ def _parser() -> argparse.ArgumentParser:
     check.add_argument("--block", action="store_true", help="fail the run if any check fails")
     command("run", "input", "silver-path", "gold-root", help="clean, check, roll up and rebuild every metric table")
     command("gold", "silver-path", "gold-root", help="roll up and rebuild every metric table from silver")
-    command(
+    backfill = command(
         "backfill", "input", "silver-path", "gold-root", "start-date", "end-date", help="redo a date range end to end"
     )
-    command("register", "gold-root", help="external catalog tables over the metric tables")
+    backfill.add_argument("--warn", action="store_true", help="go on to gold even if a quality check fails")
+    register = command("register", "gold-root", help="external tables over the metric tables in the session's catalog")
+    register.add_argument("--database", help="made if it is not there")
     land = command("land", "input", "output", "checkpoint", help="stream arriving events into bronze")
     land.add_argument("--quarantine")
     land.add_argument("--max-files-per-trigger", type=int)
@@ -92,17 +94,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.rebuild_gold(spark, args.silver_path, args.gold_root)
     elif args.job == "backfill":
         paths = (args.input, args.silver_path, args.gold_root)
-        print(json.dumps(jobs.run_backfill(spark, *paths, args.start_date, args.end_date)))
+        mode = "warn" if args.warn else "raise"
+        print(json.dumps(jobs.run_backfill(spark, *paths, args.start_date, args.end_date, mode=mode)))
     elif args.job == "register":
-        create_gold_tables(spark, args.gold_root)
+        create_gold_tables(spark, args.gold_root, args.database)
     elif args.job == "land":
         trigger = landing.UNTIL_CAUGHT_UP if args.once else landing.EVERY_FLUSH
         arriving = landing.read_event_stream(spark, args.input, args.max_files_per_trigger)
-        landing.land_events(arriving, args.output, f"{args.checkpoint}/accepted", trigger=trigger)
+        queries = [landing.land_events(arriving, args.output, f"{args.checkpoint}/accepted", trigger=trigger)]
         if args.quarantine:
-            landing.quarantine_events(arriving, args.quarantine, f"{args.checkpoint}/rejected", trigger=trigger)
-        for query in spark.streams.active:
-            query.awaitTermination()
+            rejected = landing.quarantine_events(arriving, args.quarantine, f"{args.checkpoint}/rejected", trigger=trigger)
+            queries.append(rejected)
+        landing.await_all(spark, queries)
 
 
 def main(argv: list[str] | None = None) -> None:

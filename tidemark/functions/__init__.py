@@ -8,6 +8,7 @@ from tidemark.functions.columns import (
     known_metadata,
     moment,
     safe_ratio,
+    typed_numbers,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "known_metadata",
     "moment",
     "safe_ratio",
+    "typed_numbers",
 ]

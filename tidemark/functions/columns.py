@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.schema import CORRUPT
+
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` as double, 0.0 where the denominator is not positive."""
@@ -44,6 +46,21 @@ def all_reasons(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(failed, F.lit(name)) for name, failed in rules.items()]))
 
 
+def typed_numbers(raw: DataFrame) -> DataFrame:
+    """Duration and revenue from the text they were read as, so ``18.0`` and ``"9.99"`` count as numbers.
+
+    The fraction of a duration is cut off. A row with a text that is no number (or no int) keeps both
+    texts in ``_corrupt_record``.
+    """
+    duration, revenue = F.col("duration_seconds"), F.col("revenue")
+    numbers = {"duration_seconds": duration.try_cast("double").try_cast("int"), "revenue": revenue.try_cast("double")}
+    mistyped = F.lit(False)
+    for name, number in numbers.items():
+        mistyped = mistyped | (F.col(name).isNotNull() & number.isNull())
+    texts = F.when(mistyped, F.to_json(F.struct("duration_seconds", "revenue")))
+    return raw.withColumns({**numbers, CORRUPT: F.coalesce(F.col(CORRUPT), texts)})
+
+
 def known_metadata(df: DataFrame) -> Column:
     """The two documented metadata keys as a struct, whatever form ``metadata`` arrives in."""
     kind = df.schema["metadata"].dataType

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import event_time, first_reason, is_blank, known_metadata, moment
-from tidemark.schema import CLOCK_SKEW_SECONDS, EVENT_COLUMNS, EVENT_TYPES, SILVER
+from tidemark.schema import CLOCK_SKEW_SECONDS, CORRUPT, EVENT_COLUMNS, EVENT_TYPES, SILVER
 
 # Rules in the order they are applied.
 RULES = (
@@ -23,17 +23,12 @@ RULES = (
     "negative_revenue",
 )
 
-# Lines of the drop report, in order.
-REPORT_LINES = (
-    "raw_count",
-    "dropped_bad_timestamp",
-    "dropped_future_timestamp",
-    "dropped_missing_ids",
-    "dropped_bad_event_type",
-    "dropped_negative_revenue",
-    "dropped_duplicates",
-    "clean_count",
-)
+# The last rule of input read from files: a number that is none.
+MISTYPED = "mistyped_field"
+
+
+def rules_for(bronze: DataFrame) -> tuple[str, ...]:
+    return (*RULES, MISTYPED) if CORRUPT in bronze.columns else RULES
 
 
 def parse_date(value: date | str) -> date:
@@ -74,10 +69,12 @@ def tag_events(
         "bad_event_type": ~F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False)),
         "negative_revenue": F.col("revenue") < 0,
     }
+    if CORRUPT in bronze.columns:
+        failed[MISTYPED] = F.col(CORRUPT).isNotNull()
     parsed = bronze.withColumn("event_time", event_time(F.col("event_timestamp")))
     if start_date is not None or end_date is not None:
         parsed = parsed.filter(time.isNull() | in_date_range(time, start_date, end_date))
-    return parsed.withColumn("reject_reason", first_reason({rule: failed[rule] for rule in RULES}))
+    return parsed.withColumn("reject_reason", first_reason({rule: failed[rule] for rule in rules_for(bronze)}))
 
 
 def earliest_per_id(events: DataFrame, key: str, time: str) -> DataFrame:
@@ -156,15 +153,15 @@ def quality_report(
     copies, passes = F.col("copies"), reason.isNull()
     values = {
         "raw_count": F.sum(copies),
-        **{f"dropped_{rule}": F.sum(F.when(reason == rule, copies)) for rule in RULES},
+        **{f"dropped_{rule}": F.sum(F.when(reason == rule, copies)) for rule in rules_for(bronze)},
         "dropped_duplicates": F.sum(F.when(passes, copies - 1)),
         "clean_count": F.count_if(passes),
     }
-    totals = per_id.agg(*[F.coalesce(values[line], F.lit(0)).alias(line) for line in REPORT_LINES])
+    totals = per_id.agg(*[F.coalesce(value, F.lit(0)).alias(line) for line, value in values.items()])
     lines = F.array(
         *[
             F.struct(F.lit(i).alias("line_order"), F.lit(line).alias("line"), F.col(line).alias("row_count"))
-            for i, line in enumerate(REPORT_LINES)
+            for i, line in enumerate(values)
         ]
     )
     return totals.select(F.inline(lines))

@@ -54,7 +54,9 @@ class QualityCheckFailed(ValueError):
 
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.delete(target, True) and files.exists(target):
+        raise OSError(f"could not delete {path}")
 
 
 def _path_missing(error: AnalysisException) -> bool:
@@ -357,11 +359,16 @@ def run_backfill(
     start_date: Day,
     end_date: Day,
     as_of: datetime | str | None = None,
+    mode: str = "raise",
 ) -> dict[str, int]:
-    """Redo a date range from bronze through all six metric tables."""
+    """Redo a date range from bronze through all six metric tables.
+
+    Silver is checked in between; a failing check stops the run before gold unless ``mode`` is ``"warn"``.
+    """
     if not (start_date and end_date):
         raise ValueError("a backfill needs both start_date and end_date (YYYY-MM-DD)")
     done = backfill_silver(spark, bronze_path, silver_path, start_date, end_date, as_of)
+    check_silver(spark, silver_path, mode=mode, as_of=as_of)
     refresh_rollups(spark, silver_path, gold_root, start_date, end_date, done.later_dates)
     build_gold(spark, gold_root)
     return done.report

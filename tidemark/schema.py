@@ -76,6 +76,11 @@ CORRUPT = "_corrupt_record"
 BRONZE = T.StructType([*_PLAIN_EVENT_FIELDS, T.StructField("metadata", T.VariantType())])
 BRONZE_WITH_CORRUPT = T.StructType([*BRONZE.fields, T.StructField(CORRUPT, T.StringType())])
 
+# As read from NDJSON: numbers keep their text, whatever JSON type they came in.
+BRONZE_AS_READ = T.StructType(
+    [f if isinstance(f.dataType, T.VariantType) else T.StructField(f.name, T.StringType()) for f in BRONZE_WITH_CORRUPT]
+)
+
 EVENT_COLUMNS = tuple(BRONZE.fieldNames())
 
 SILVER = T.StructType(

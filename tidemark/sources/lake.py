@@ -7,9 +7,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_time, moment
+from tidemark.functions import event_time, moment, typed_numbers
 from tidemark.operators.clean import parse_date
-from tidemark.schema import BRONZE_WITH_CORRUPT, CORRUPT, GOLD
+from tidemark.schema import BRONZE_AS_READ, BRONZE_WITH_CORRUPT, CORRUPT, GOLD
 
 # Bronze directory levels and rows per NDJSON file.
 BRONZE_LEVELS = ("year", "month", "day", "hour")
@@ -29,7 +29,7 @@ def read_bronze(
     """Raw events from NDJSON files under a root, a glob, or several of these together.
 
     The schema is given, so nothing is inferred; lines that do not parse keep their text in
-    ``_corrupt_record``. All directories are read whatever the date range, since an event may lie
+    ``_corrupt_record``, and so do numbers that are none. All directories are read whatever the date range, since an event may lie
     under the hour of its landing; the cleaning job filters rows by their parsed timestamps.
     ``prune_directories`` is for lakes known to keep events under their own date: with a date range
     and a ``year=/month=/day=`` layout, only directories from one day before to one day after the
@@ -38,14 +38,14 @@ def read_bronze(
     if not isinstance(path, str):
         roots = [read_bronze(spark, root, start_date, end_date, prune_directories) for root in path]
         return reduce(DataFrame.unionByName, roots)
-    raw = spark.read.schema(BRONZE_WITH_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    raw = spark.read.schema(BRONZE_AS_READ).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     if prune_directories and set(BRONZE_LEVELS[:3]) <= set(raw.columns):
         directory = F.make_date("year", "month", "day")
         if start_date is not None:
             raw = raw.filter(directory.isNull() | (directory >= F.lit(parse_date(start_date) - timedelta(days=1))))
         if end_date is not None:
             raw = raw.filter(directory.isNull() | (directory <= F.lit(parse_date(end_date) + timedelta(days=1))))
-    return raw.select(*BRONZE_WITH_CORRUPT.fieldNames())
+    return typed_numbers(raw.select(*BRONZE_WITH_CORRUPT.fieldNames()))
 
 
 def hourly_directories(events: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:

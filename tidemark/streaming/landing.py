@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import typed_numbers
 from tidemark.operators.clean import passing_events, tag_events, to_silver
 from tidemark.operators.validate import accepted, rejected, validate_events
-from tidemark.schema import BRONZE_WITH_CORRUPT, CORRUPT
+from tidemark.schema import BRONZE_AS_READ, BRONZE_WITH_CORRUPT, CORRUPT
 from tidemark.sources.lake import BRONZE_LEVELS, EVENTS_PER_FILE, hourly_directories
 
 # Fixed value: how often arriving events are flushed.
@@ -28,10 +29,10 @@ HOT_ID_SALTS = 8
 
 def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Events from NDJSON files as they appear under a folder."""
-    reader = spark.readStream.schema(BRONZE_WITH_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.readStream.schema(BRONZE_AS_READ).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).select(*BRONZE_WITH_CORRUPT.fieldNames())
+    return typed_numbers(reader.json(path).select(*BRONZE_WITH_CORRUPT.fieldNames()))
 
 
 def _files(df: DataFrame, kind: str, path: str, checkpoint: str, trigger: dict, partitions: tuple[str, ...]) -> StreamingQuery:
@@ -112,3 +113,17 @@ def stream_to_silver(
     """Append clean events to the date-partitioned silver table."""
     clean = clean_stream(bronze, watermark, as_of, hot_id_salts)
     return _files(clean, "parquet", silver_path, checkpoint, trigger, ("event_date",))
+
+
+def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Wait until every query has ended; if one fails, stop the others and raise its error."""
+    try:
+        while any(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for query in queries:
+            if error := query.exception():
+                raise error
+    finally:
+        for query in queries:
+            query.stop()
