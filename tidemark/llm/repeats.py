@@ -90,34 +90,38 @@ def _stretch_hashes(data: np.ndarray, at: np.ndarray, first: np.ndarray, last: n
 
 
 def multikey_sort(strings: np.ndarray) -> np.ndarray:
-    """Rank of each row of bytes, equal rows having equal ranks.
+    """Rank of each row of bytes: its place in order, equal rows sharing the first of their places.
 
     Rows are split three ways by one word of 8 bytes at a time, all parts of a level together, to a
-    depth of SHALLOW words. Parts that are still whole then go through blind tries.
+    depth of SHALLOW words; parts of one row are done at once. Parts that are then still of several
+    different rows go through blind tries.
     """
     n, width = strings.shape
     padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
     padded[:, :width] = strings
-    words = padded.view(">u8").astype(np.uint64)
-    part = np.zeros(n, np.int64)
+    words = padded.view(">u8")
+    rank = np.zeros(n, np.int64)
+    live = np.arange(n)
     for depth in range(min(SHALLOW, words.shape[1])):
-        order = np.lexsort((words[:, depth], part))
-        new = np.ones(n, bool)
-        new[1:] = (part[order][1:] != part[order][:-1]) | (words[order, depth][1:] != words[order, depth][:-1])
-        part[order] = np.cumsum(new) - 1
-    order = np.argsort(part, kind="stable")
-    edges = np.flatnonzero(np.diff(part[order])) + 1
-    rank = np.empty(n, np.int64)
-    base = 0
-    for low, high in zip([0, *edges], [*edges, n]):
-        rows = order[low:high]
-        if high - low == 1:
-            rank[rows] = base
-            base += 1
-            continue
-        inner = blind_trie_ranks([strings[r].tobytes() for r in rows])
-        rank[rows] = base + np.array(inner)
-        base += max(inner) + 1
+        if len(live) < 2:
+            return rank
+        word = words[live, depth].astype(np.uint64)
+        order = np.lexsort((word, rank[live]))
+        live, word = live[order], word[order]
+        part = rank[live]
+        new_part = np.concatenate([[True], part[1:] != part[:-1]])
+        starts = np.flatnonzero(new_part | np.concatenate([[True], word[1:] != word[:-1]]))
+        place = part + np.arange(len(live)) - np.flatnonzero(new_part)[np.cumsum(new_part) - 1]
+        sizes = np.diff(np.append(starts, len(live)))
+        rank[live] = np.repeat(place[starts], sizes)
+        live = live[np.repeat(sizes > 1, sizes)]
+    if len(live):
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(rank[live]) != 0]))
+        sizes = np.diff(np.append(starts, len(live)))
+        differs = (words[live, SHALLOW:] != words[np.repeat(live[starts], sizes), SHALLOW:]).any(axis=1)
+        for k in np.flatnonzero(np.add.reduceat(differs, starts, dtype=np.int64)):
+            rows = live[starts[k] : starts[k] + sizes[k]]
+            rank[rows] += np.array(blind_trie_ranks([strings[r].tobytes() for r in rows]))
     return rank
 
 
@@ -247,14 +251,16 @@ JUDGED = pa.schema([(c, pa.int32() if c == "bucket" else pa.int64()) for c in ("
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each stretch, its windows that also start at an earlier place: offsets from the stretch's start."""
     for frame in _by_key(batches, "anchor", STRETCHES_AT_ONCE):
-        count = frame["stretch"].str.len().to_numpy() - LENGTH + 1
+        count = np.fromiter(map(len, frame["stretch"]), np.int64, len(frame)) - LENGTH + 1
         data = np.frombuffer(b"".join(frame["stretch"]), np.uint8)
         begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
         owner = np.repeat(np.arange(len(frame)), count)
         within = np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
         rank = multikey_sort(np.lib.stride_tricks.sliding_window_view(data, LENGTH)[begin[owner] + within])
         start = frame["at"].to_numpy()[owner] - frame["before"].to_numpy()[owner] + within
-        order = np.lexsort((start, frame["twin"].to_numpy()[owner], frame["doc"].to_numpy()[owner], rank))
+        tied = np.flatnonzero(np.bincount(rank)[rank] > 1)
+        whose = owner[tied]
+        order = tied[np.lexsort((start[tied], frame["twin"].to_numpy()[whose], frame["doc"].to_numpy()[whose], rank[tied]))]
         again = np.zeros(len(owner), bool)
         again[order[1:]] = rank[order[1:]] == rank[order[:-1]]
         hit = np.flatnonzero(again)
