@@ -161,7 +161,7 @@ def backfill_silver(
     An event id stays unique in the whole table, and the earliest copy is the one kept, as a
     full rebuild would: rows whose id sits on an earlier date are left out, and later dates
     holding a copy of a row in the range are rewritten without it. The range is staged on
-    shared storage first, so bronze is parsed once and no table is read while overwritten.
+    shared storage first, so no table is read while overwritten; the report parses bronze again.
     """
     start, end = checked_range(start_date, end_date)
     now = as_of or datetime.now(timezone.utc)
