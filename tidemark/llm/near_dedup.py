@@ -16,6 +16,7 @@ SLOTS = 240  # the first BANDS * ROWS also make up the bands
 ELEMENTS_AT_ONCE = 1 << 15
 BLOCK = 1024
 MARGIN = 0.1
+MARK_BITS = 26  # marks are 2 ** 20 words of 64 bits at most, however many ids there are
 FILLED = np.uint64(1 << 32)
 SPACES = [0x20, *range(0x09, 0x0E)]
 LOWER = np.arange(256, dtype=np.uint8)
@@ -158,8 +159,25 @@ def _alike_sets(left: bytes, right: bytes, percent: int) -> bool:
     return 100 * both >= percent * (len(left) + len(right) - both)
 
 
+def possibly_in(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of df (id, ...) whose id may be in ids (id): all that are, and a share of the others.
+
+    A word has a bit for each of 64 hashes of ids. At most 2 ** 20 words of two numbers are broadcast,
+    whatever the input; more ids than bits only let more rows through.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << MARK_BITS))
+    word = F.shiftright(place, 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    marks = ids.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    met = df.join(F.broadcast(marks), word == F.col("__word"))
+    return met.where(F.col("__bits").bitwiseAND(bit) != 0).select(*df.columns)
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """id, elements (the sorted shingle hashes of the whole text) of the documents in ids (id)."""
+    """id, elements (the sorted shingle hashes of the whole text) of the documents in ids (id).
+
+    Texts are sifted where they are read, so that only those asked for are shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -168,7 +186,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "elements"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
-    texts = texts.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
+    ids = kept(ids.distinct(), "ids")
+    texts = possibly_in(texts, ids).join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
     return kept(texts.mapInArrow(run, "id long, elements binary"), "sets")
 
 
