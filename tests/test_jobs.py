@@ -164,10 +164,33 @@ def test_backfill_equals_a_full_rebuild(spark, tmp_path):
     table = lake.read_silver(spark, silver)
     same_rows(table, full_rebuild(spark, bronze))
     assert not (tmp_path / "silver" / "event_date=2024-01-02").exists()
-    assert done.later_dates == {date(2024, 1, 5)}
+    assert done.other_dates == {date(2024, 1, 5)}
     assert done.report["dropped_bad_timestamp"] == 1
     assert table.count() == table.select("event_id").distinct().count()
-    assert jobs.backfill_silver(spark, bronze, silver, "2024-01-02", "2024-01-04", AS_OF).later_dates == set()
+    assert jobs.backfill_silver(spark, bronze, silver, "2024-01-02", "2024-01-04", AS_OF).other_dates == set()
+    same_rows(lake.read_silver(spark, silver), full_rebuild(spark, bronze))
+
+
+def test_backfill_brings_back_copies_of_removed_ids(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    make_bronze(bronze)
+    write_lines(
+        bronze,
+        event(event_id="twice", event_timestamp=at(3)),
+        event(event_id="twice", event_timestamp=at(5), city="later copy"),
+        event(event_id="twice", event_timestamp=at(6), city="last copy"),
+        event(event_id="gone", event_timestamp=at(3)),
+        name="copies.json",
+    )
+    jobs.clean_bronze(spark, bronze, silver, AS_OF)
+    write_lines(
+        bronze,
+        event(event_id="twice", event_timestamp=at(5), city="later copy"),
+        event(event_id="twice", event_timestamp=at(6), city="last copy"),
+        name="copies.json",
+    )
+    done = jobs.backfill_silver(spark, bronze, silver, "2024-01-03", "2024-01-03", AS_OF)
+    assert done.other_dates == {date(2024, 1, 5)}
     same_rows(lake.read_silver(spark, silver), full_rebuild(spark, bronze))
 
 

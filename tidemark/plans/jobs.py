@@ -145,7 +145,7 @@ class Backfill:
     """What a silver backfill did: the drop report and the dates it rewrote beyond its range."""
 
     report: dict[str, int]
-    later_dates: set[date]
+    other_dates: set[date]
 
 
 def backfill_silver(
@@ -160,17 +160,18 @@ def backfill_silver(
 
     An event id stays unique in the whole table, and the earliest copy is the one kept, as a
     full rebuild would: rows whose id sits on an earlier date are left out, and later dates
-    holding a copy of a row in the range are rewritten without it. The range is staged on
-    shared storage first, so no table is read while overwritten; the report parses bronze again.
+    holding a copy of a row in the range are rewritten without it. Ids that the range no longer
+    holds come back from their copies on other dates. The range is staged on shared storage
+    first, so no table is read while overwritten; the report parses bronze again.
     """
     start, end = checked_range(start_date, end_date)
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path, start, end)
     silver = _read_if_present(spark, silver_path)
     with shuffles_sized_for(bronze, *([] if silver is None else [silver.select("event_id")])):
-        later_dates = _replace_silver(spark, bronze, silver, silver_path, start, end, now)
+        other_dates = _replace_silver(spark, bronze, silver, silver_path, start, end, now)
         report = _as_dict(quality_report(bronze, now, start_date=start, end_date=end))
-    return Backfill(report, later_dates)
+    return Backfill(report, other_dates)
 
 
 def _replace_silver(
@@ -190,25 +191,37 @@ def _replace_silver(
 
     try:
         fresh = staged("range", clean_events(bronze, now, start_date=start, end_date=end))
-        later_dates: set[date] = set()
+        other_dates: set[date] = set()
         if silver is not None:
             elsewhere = silver.filter(~_within(start, end)).select("event_id", "event_date")
             shared_ids = staged("shared_ids", elsewhere.join(fresh.select("event_id"), "event_id", "left_semi"))
+            returning = staged("returning", _returning(bronze, silver, fresh, start, end, now))
             earlier = shared_ids.filter(_before(start)).select("event_id")
             fresh = fresh.join(earlier, "event_id", "left_anti")
-            later_dates = _dates(shared_ids, _after(end))
-            if later_dates:
+            other_dates = _dates(shared_ids, _after(end)) | _dates(returning, F.lit(True))
+            if other_dates:
                 displaced = shared_ids.filter(_after(end)).select("event_id")
-                on_those_dates = silver.filter(F.col("event_date").isin(sorted(later_dates)))
+                on_those_dates = silver.filter(F.col("event_date").isin(sorted(other_dates)))
                 kept = staged("kept", on_those_dates.join(displaced, "event_id", "left_anti"))
-                fresh = fresh.unionByName(kept)
-        scope = _within(start, end, later_dates)
+                fresh = fresh.unionByName(kept).unionByName(returning)
+        scope = _within(start, end, other_dates)
         _replace_dates(spark, fresh, _dates(fresh, scope), silver_path, SILVER_ORDER, scope)
-        return later_dates
+        return other_dates
     finally:
         _delete(spark, staging)
 
 
+def _returning(
+    bronze: DataFrame, silver: DataFrame, fresh: DataFrame, start: date | None, end: date | None, now: datetime | str
+) -> DataFrame:
+    """Clean copies on dates outside the range of ids that silver had in the range and the fresh range has not."""
+    gone = silver.filter(_within(start, end)).select("event_id").join(fresh.select("event_id"), "event_id", "left_anti")
+    if gone.isEmpty():
+        return fresh.limit(0)
+    copies = clean_events(bronze.join(gone, "event_id", "left_semi"), now)
+    return copies.select(*fresh.columns).filter(~_within(start, end))
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
@@ -369,6 +382,6 @@ def run_backfill(
         raise ValueError("a backfill needs both start_date and end_date (YYYY-MM-DD)")
     done = backfill_silver(spark, bronze_path, silver_path, start_date, end_date, as_of)
     check_silver(spark, silver_path, mode=mode, as_of=as_of)
-    refresh_rollups(spark, silver_path, gold_root, start_date, end_date, done.later_dates)
+    refresh_rollups(spark, silver_path, gold_root, start_date, end_date, done.other_dates)
     build_gold(spark, gold_root)
     return done.report
