@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, at, rows
+from samples import AS_OF, at, rows
 from tidemark.operators.clean import clean_events, quality_report, rejected_events, tag_events
 from tidemark.schema import SILVER
 

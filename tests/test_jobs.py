@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, at, event, rows
+from samples import AS_OF, at, event, rows
 from tidemark.operators import daily, features, funnel, retention, revenue
 from tidemark.operators.clean import clean_events, quality_report
 from tidemark.plans import jobs

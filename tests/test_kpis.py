@@ -1,6 +1,6 @@
 from datetime import date, timedelta
 
-from conftest import rows
+from samples import rows
 from tidemark.plans import kpis
 from tidemark.schema import GOLD
 

@@ -4,7 +4,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from samples import at, rows
 from tidemark.operators.anomaly import anomaly_report, anomaly_report_from_user_days, score_metric
 from tidemark.operators.churn import lapsed_users
 from tidemark.operators.daily import active_users, daily_user_metrics, session_days

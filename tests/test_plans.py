@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import at
+from samples import at
 from tidemark.operators.churn import lapsed_users
 from tidemark.operators.daily import daily_user_metrics
 from tidemark.operators.features import feature_usage

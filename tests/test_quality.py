@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from conftest import AS_OF, at
+from samples import AS_OF, at
 from tidemark.operators import quality
 from tidemark.plans.jobs import QualityCheckFailed, check_silver, run_checks
 

@@ -2,11 +2,11 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, differences
-from conftest import SF_DIR
+from samples import SF_DIR
+from duckdb_oracle import ORACLE
+from tidemark.plans.registry import QUERIES
 from tidemark.schema import GOLD
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():

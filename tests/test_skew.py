@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, EVENT
+from samples import AS_OF, EVENT
 from tidemark.operators.clean import clean_events, quality_report
 from tidemark.operators.daily import daily_user_metrics, session_days
 from tidemark.operators.features import feature_usage

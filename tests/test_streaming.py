@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import AS_OF, at, event, rows
+from samples import AS_OF, at, event, rows
 from test_jobs import write_lines
 from tidemark.operators.clean import clean_events
 from tidemark.sources.lake import read_bronze, read_silver

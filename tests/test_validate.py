@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import AS_OF, rows
+from samples import AS_OF, rows
 from tidemark.operators.validate import accepted, ingest_counts, rejected, validate_events
 
 
