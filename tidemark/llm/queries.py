@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import align
 from tidemark.llm.bpe import encode_digest
 from tidemark.llm.chat import chat_digest
 from tidemark.llm.decontaminate import contamination_digest
@@ -73,8 +74,16 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate, op8_bpe, op9_token_files, op10_repeats)
+    f.__name__: f
+    for f in (
+        *(op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate),
+        *(op8_bpe, op9_token_files, op10_repeats, op12_alignment),
+    )
 }
 
 OP2_SQL = r"""
