@@ -20,6 +20,7 @@ from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_digest
 from tidemark.llm.topk import top_k
 from tidemark.llm.toxicity import toxicity
+from tidemark.llm.turn_trie import prefix_trie
 
 TOKEN_LIMIT = 4096
 END_ID = 2
@@ -78,11 +79,15 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("node0", "node1")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         *(op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate),
-        *(op8_bpe, op9_token_files, op10_repeats, op12_alignment),
+        *(op8_bpe, op9_token_files, op10_repeats, op12_alignment, op13_turn_trie),
     )
 }
 
@@ -153,4 +158,41 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, low) AS component_id,
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY 1) USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_near_duplicates": OP6_SQL, "op4_exact_top_k": OP4_SQL, "op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
+# The checksum is computed bit by bit: 3988292384 is the reversed polynomial of crc32.
+OP13_SQL = """
+WITH ids AS (
+  SELECT c, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda x, b: list_reduce(list_concat([xor(x, b)], range(8)), lambda y, i: xor(y >> 1, CASE WHEN y % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL)
+), turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+    sha256(coalesce(role, '')) || sha256(coalesce(text, '')) AS said, strlen(coalesce(text, '')) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (SELECT c, count(*) AS n FROM turns GROUP BY c),
+rebuilt AS (
+  SELECT i.c, b.k AS depth, said, bytes FROM ids i JOIN turns b ON b.c = i.c - i.c % 5 AND b.k <= h
+  UNION ALL
+  SELECT i.c, least(h, coalesce(n, 0)) + k - h, said, bytes
+  FROM ids i JOIN turns t ON t.c = i.c AND t.k > h LEFT JOIN sizes s ON s.c = i.c - i.c % 5
+), paths AS (
+  SELECT c, depth, sha256(string_agg(said, '') OVER (PARTITION BY c ORDER BY depth)) AS path, bytes FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM ids
+), lengths AS (SELECT c, max(depth) AS n FROM paths GROUP BY c),
+nodes AS (
+  SELECT path, depth, min(p.c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved, bool_and(n = depth) AS leaf,
+    sha256(coalesce(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (n = depth), '')) AS ends_sha256
+  FROM paths p JOIN lengths l ON l.c = p.c GROUP BY path, depth
+), above AS (
+  SELECT v.path AS below, v.depth AS d, p.path, p.depth, v.saved, v.leaf FROM nodes v JOIN paths p ON p.c = v.conv_id AND p.depth <= v.depth
+)
+SELECT u.conv_id, u.depth, max(o.conv_id) AS parent_conv_id, any_value(u.n_convs) AS n_convs, any_value(s.n_children) AS n_children,
+  any_value(s.n_leaves) AS n_leaves, any_value(s.saved_tokens) AS saved_tokens, any_value(u.ends_sha256) AS ends_sha256
+FROM nodes u
+JOIN (SELECT path, depth, count_if(d = depth + 1) AS n_children, count_if(leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM above GROUP BY path, depth) s ON s.path = u.path AND s.depth = u.depth
+LEFT JOIN above a ON a.below = u.path AND a.d = u.depth AND a.depth = u.depth - 1
+LEFT JOIN nodes o ON o.path = a.path AND o.depth = a.depth
+GROUP BY u.conv_id, u.depth
+"""
+
+ORACLE_SQL: dict[str, str] = {"op13_turn_trie": OP13_SQL, "op6_near_duplicates": OP6_SQL, "op4_exact_top_k": OP4_SQL, "op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
