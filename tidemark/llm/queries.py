@@ -188,7 +188,7 @@ nodes AS (
 SELECT u.conv_id, u.depth, max(o.conv_id) AS parent_conv_id, any_value(u.n_convs) AS n_convs, any_value(s.n_children) AS n_children,
   any_value(s.n_leaves) AS n_leaves, any_value(s.saved_tokens) AS saved_tokens, any_value(u.ends_sha256) AS ends_sha256
 FROM nodes u
-JOIN (SELECT path, depth, count_if(d = depth + 1) AS n_children, count_if(leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+JOIN (SELECT path, depth, CAST(count_if(d = depth + 1) AS BIGINT) AS n_children, CAST(count_if(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
   FROM above GROUP BY path, depth) s ON s.path = u.path AND s.depth = u.depth
 LEFT JOIN above a ON a.below = u.path AND a.d = u.depth AND a.depth = u.depth - 1
 LEFT JOIN nodes o ON o.path = a.path AND o.depth = a.depth
