@@ -13,6 +13,7 @@ from tidemark.llm.bpe import encode_digest
 from tidemark.llm.chat import chat_digest
 from tidemark.llm.decontaminate import contamination_digest
 from tidemark.llm.frames import kept
+from tidemark.llm.language import languages
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.pii import pii_digest
 from tidemark.llm.repeats import repeated_bytes
@@ -75,6 +76,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -87,7 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         *(op1_pii, op2_chat_format, op3_toxicity, op4_exact_top_k, op5_token_counts, op6_near_duplicates, op7_decontaminate),
-        *(op8_bpe, op9_token_files, op10_repeats, op12_alignment, op13_turn_trie),
+        *(op8_bpe, op9_token_files, op10_repeats, op11_language, op12_alignment, op13_turn_trie),
     )
 }
 
