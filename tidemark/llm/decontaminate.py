@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.frames import gather, slices, text_bytes
+from tidemark.llm.frames import gather, kept, slices, text_bytes
 
 WINDOW = 10
 ITEMS_AT_ONCE = 20_000
+ITEM_BYTES_AT_ONCE = 16 << 20
 TABLE_BITS = 18
 LANE = 4096
 
@@ -132,9 +133,9 @@ class Matcher:
         return np.array(places, np.int64), np.array(numbers, np.int64)
 
 
-def item_windows(items: list[tuple[str, str | None]]) -> list[tuple[bytes, int, list[str]]]:
+def item_windows(items: list[tuple[str | None, str | None]]) -> list[tuple[bytes, int, list[str | None]]]:
     """Each distinct window of the items: its string, its number of words and the items that hold it."""
-    found: dict[bytes, tuple[int, set[str]]] = {}
+    found: dict[bytes, tuple[int, set[str | None]]] = {}
     words = Words(pa.array([text for _, text in items], pa.large_string()))
     buffer = words.buffer.tobytes()
     for k, (item, _) in enumerate(items):
@@ -146,7 +147,12 @@ def item_windows(items: list[tuple[str, str | None]]) -> list[tuple[bytes, int,
             end = at + size - 1
             window = buffer[words.begin[at] - 1 : words.begin[end] + words.length[end] + 1]
             found.setdefault(window, (size, set()))[1].add(item)
-    return [(w, size, sorted(names)) for w, (size, names) in found.items()]
+    return [(w, size, in_order(names)) for w, (size, names) in found.items()]
+
+
+def in_order(names: set[str | None]) -> list[str | None]:
+    """Sorted as strings, null first."""
+    return sorted(names, key=lambda n: (n is not None, n or ""))
 
 
 def matchers(items: list[tuple[str, str | None]]) -> list[tuple[Matcher, list[list[str]]]]:
@@ -181,14 +187,14 @@ def find(column: pa.Array, tables: list[tuple[Matcher, list[list[str]]]]) -> tup
     return words.n_words, [covered[words.first[k] : words.first[k + 1]] for k in range(texts)], items
 
 
-def benchmark_shards(benchmark: DataFrame, id: str, text: str) -> list[list[tuple[str, str | None]]]:
-    """The items in groups of at most ITEMS_AT_ONCE, so that what each search takes along is bounded."""
-    items = benchmark.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text")).where("id is not null")
-    shards = -(-items.count() // ITEMS_AT_ONCE)
-    if shards <= 1:
-        return [[tuple(r) for r in items.collect()]]
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(2 * shards))
-    return [[tuple(r) for r in items.where(part == k).collect()] for k in range(2 * shards)]
+def benchmark_shards(benchmark: DataFrame, id: str, text: str) -> Iterator[tuple[list[tuple[str | None, str | None]], bool]]:
+    """The items in groups of about ITEMS_AT_ONCE and ITEM_BYTES_AT_ONCE, one after the other, and whether more follow."""
+    items = benchmark.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    shards = max(-(-size.n // ITEMS_AT_ONCE), -(-(size.bytes or 0) // ITEM_BYTES_AT_ONCE), 1)
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
+    for k in range(shards):
+        yield [tuple(r) for r in (items.where(part == k) if shards > 1 else items).collect()], k + 1 < shards
 
 
 def contamination(
@@ -197,9 +203,10 @@ def contamination(
     """doc_id, n_words, hits (array of word numbers), items (array of item ids, sorted as strings), for every row.
 
     A window is WINDOW consecutive words of an item, or all words of a shorter item. Null texts have
-    no words, as have items of null text or null id; an item id that occurs twice counts as one
-    item. Repeated rows stay; empty tables give no rows or no hits; further columns are not read.
-    A benchmark of more than ITEMS_AT_ONCE items is searched for in several passes over the batches.
+    no words, as have items of null text; an item id that occurs twice counts as one item, and so do
+    all items without an id, as a null in items. Repeated rows stay; empty tables give no rows or no
+    hits; further columns are not read. A large benchmark is searched for shard by shard, the results
+    being written in between, so that the driver and a search hold one shard.
     """
     kind = docs.schema[id].dataType.simpleString()
     schema = f"id {kind}, text string, n_words long, hits array<int>, items array<string>"
@@ -210,7 +217,7 @@ def contamination(
         F.array().cast("array<int>").alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    for shard in benchmark_shards(benchmark, item_id, item_text):
+    for shard, more in benchmark_shards(benchmark, item_id, item_text):
         tables = docs.sparkSession.sparkContext.broadcast(matchers(shard))
 
         def run(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
@@ -227,12 +234,15 @@ def contamination(
                         batch.column(1),
                         pa.array(n_words, pa.int64()),
                         pa.array(hits, pa.list_(pa.int32())),
-                        pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+                        pa.array(list(map(in_order, items)), pa.list_(pa.string())),
                     ],
                     ["id", "text", "n_words", "hits", "items"],
                 )
 
         out = out.mapInArrow(run, schema)
+        if more:
+            out = kept(out, "searched")
+            tables.destroy()
     return out.drop("text").withColumnRenamed("id", id)
 
 
@@ -253,7 +263,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     """The rows of docs, all columns as they are, in whose texts no window of an item occurs."""
     out = docs
     at = docs.columns.index(text)
-    for shard in benchmark_shards(benchmark, "item_id", "text"):
+    for shard, more in benchmark_shards(benchmark, "item_id", "text"):
         tables = docs.sparkSession.sparkContext.broadcast(matchers(shard))
 
         def run(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
@@ -262,4 +272,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "tex
                 yield batch.filter(pa.array([not c.any() for c in covered], pa.bool_()))
 
         out = out.mapInArrow(run, T.StructType(docs.schema.fields))
+        if more:
+            out = kept(out, "searched")
+            tables.destroy()
     return out
