@@ -4,10 +4,12 @@ import random
 import re
 from hashlib import sha256
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tidemark.llm import decontaminate
 from tidemark.llm.decontaminate import contamination, without_contaminated
-from tidemark.llm.near_dedup import near_duplicates, without_near_duplicates
+from tidemark.llm.near_dedup import near_duplicates, shingle_sets, without_near_duplicates
 from tidemark.llm.pii import pii_digest, redacted
 from tidemark.llm.repeats import blind_trie_ranks, repeated_bytes
 from tidemark.llm.toxicity import held_out_part, toxicity, without_toxic
@@ -82,6 +84,25 @@ def test_near_duplicates_equal_brute_force(documents, size, percent):
     assert near_duplicates(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("text", [None, "", "a", "a b", "a b c", "a b c d", "a b c d e"])
+@pytest.mark.parametrize("size", [1, 3, 5])
+def test_slices_of_few_words(text, size):
+    count = len((text or "").split())
+    found, first = shingle_sets(pa.array([text], pa.string()), size)
+    assert len(found) == first[-1] == (max(count - size + 1, 1) if count else 0)
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = (prose(40) for _ in range(3))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, c, "x"), (3, c, "y"), (None, a, "n"), (None, "only " + b + b, "n"), (None, "only " + b + b, "m"), (None, None, "e"), (4, "", "e"), (4, "", "e")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, k1 string")
+    got = [tuple(r) for r in without_near_duplicates(frame).collect()]
+    assert [r[1] for r in sorted(got, key=str) if r[0] == 1] == [a] and [r[1] for r in got if r[0] == 2] == [b]
+    assert [r[:2] for r in got if r[0] == 3] == [(3, c)]
+    assert sorted(r[1] for r in got if r[0] is None and r[1]) == ["only " + b + b] and len(got) == 7
+    assert sorted(got, key=str) == sorted((tuple(r) for r in without_near_duplicates(frame.repartition(3)).collect()), key=str)
+
+
 def test_null_and_repeated_ids_are_kept(documents):
     text = prose(40)
     out = near_duplicates(documents([(None, text), (1, text), (1, text), (2, text)]))
@@ -103,6 +124,19 @@ def test_windows_of_items_are_found(spark, documents):
     assert {r.doc_id for r in without_contaminated(documents(rows), benchmark.limit(0)).collect()} == {1, 2, 3, 4, 5}
 
 
+def test_items_without_id_and_many_shards(spark, documents, monkeypatch):
+    items = [prose(12) for _ in range(9)]
+    benchmark = spark.createDataFrame([(k if k % 3 else None, t) for k, t in enumerate(items)], "item_id long, text string")
+    rows = [(k, "x " + t + " y") for k, t in enumerate(items)] + [(100, " ".join(items)), (101, prose(30))]
+    for at_once in (20_000, 2):
+        monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", at_once)
+        got = {r.doc_id: r for r in decontaminate.contamination_digest(documents(rows), benchmark).collect()}
+        assert [(got[k].n_hit, got[k].n_items) for k in range(9)] == [(12, 1)] * 9
+        assert got[3].items_sha256 == sha256(b"").hexdigest() and got[4].items_sha256 == sha256(b"4").hexdigest()
+        assert (got[100].n_hit, got[100].n_items, got[101].n_hit) == (108, 7, 0)
+        assert [r.doc_id for r in without_contaminated(documents(rows), benchmark).collect()] == [101]
+
+
 def test_personal_data(documents):
     rows = [
         (1, "é mail a.b@c.de_f@g.hi, ip 1.2.3.4.5.6.7.8 and 300.1.1.1"), (2, "card 4111 1111 1111 1111, 4111111111111112"), (3, "+1 (269) 555-3296 x +12"),

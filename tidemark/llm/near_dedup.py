@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import kept, slices, text_bytes
@@ -15,7 +15,7 @@ BANDS, ROWS = 32, 5
 SLOTS = 240  # the first BANDS * ROWS also make up the bands
 ELEMENTS_AT_ONCE = 1 << 15
 BLOCK = 1024
-MARGIN = 0.1
+MARGIN = 14  # percentage points by which a link's signatures may agree less than its sets
 MARK_BITS = 26  # marks are 2 ** 20 words of 64 bits at most, however many ids there are
 FILLED = np.uint64(1 << 32)
 SPACES = [0x20, *range(0x09, 0x0E)]
@@ -65,7 +65,7 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     shingles = words.copy()
     for k in range(1, size):
         further = np.zeros(len(words), np.uint64)
-        further[: len(words) - k] = words[k:]
+        further[: max(len(words) - k, 0)] = words[k:]
         shingles = np.where(left > k, mixed(shingles * np.uint64(3) + further, k), shingles)
     whole = (left >= size) | ((left == n_words[owner]) & (n_words[owner] < size))
     shingles, owner = shingles[whole], owner[whole]
@@ -133,23 +133,28 @@ def _described(column: pa.Array, size: int) -> list[pa.Array]:
     ]
 
 
+def text_key(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (size of the set), k1 and k2 (its 128-bit key), short (a byte for each slot)."""
+    """doc_id, t1 and t2 (the text's key), n (size of the set), k1 and k2 (its 128-bit key), short (a byte for each slot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_described(batch.column(1), size)], ["doc_id", "n", "k1", "k2", "short"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *_described(batch.column(3), size)], ["doc_id", "t1", "t2", "n", "k1", "k2", "short"])
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return read.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, short binary")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), F.col("text").alias("text"))
+    return read.mapInArrow(run, "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, short binary")
 
 
-def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in at least a share `least` of the slots."""
+def _alike(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures agree in at least `least` slots."""
     for batch in batches:
         if batch.num_rows:
             left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SLOTS) for k in (2, 3))
-            good = (left == right).mean(axis=1) >= least
+            good = np.count_nonzero(left == right, axis=1) >= least
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
 
 
@@ -249,7 +254,7 @@ def _by_group(work) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 class _Groups:
     """Rows of some groups, and for a row the later rows of its group that it has to be compared with there."""
 
-    def __init__(self, table: pa.Table, least: float, percent: int):
+    def __init__(self, table: pa.Table, least: int, percent: int):
         group = table.column("g").to_numpy()
         self.ids, self.own, self.n, self.band = (table.column(c).to_numpy() for c in ("id", "own", "n", "band"))
         self.short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint8).reshape(-1, SLOTS)
@@ -271,12 +276,12 @@ class _Groups:
         if not len(where):
             return where
         same = self.short[where] == self.short[i]
-        near = np.count_nonzero(same, axis=1) >= self.least * SLOTS
+        near = np.count_nonzero(same, axis=1) >= self.least
         where, same = where[near], same[near]
         return where[same[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band[i]]
 
 
-def _likely_rows(least: float, percent: int):
+def _likely_rows(least: int, percent: int):
     """Rows that have a likely partner in their group, all columns as they are."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -294,7 +299,7 @@ def _likely_rows(least: float, percent: int):
     return _by_group(work)
 
 
-def _joining_links(least: float, percent: int):
+def _joining_links(least: int, percent: int):
     """Links confirmed on full sets that join components of a group: at most one for each row."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -316,8 +321,8 @@ def _joining_links(least: float, percent: int):
     return _by_group(work)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept, for every row of docs.
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, t1, t2, n, k1, k2, component (null where no row of the same set has an id), for every row of docs.
 
     Documents are linked if 100 * intersection >= percent * union of their sets of `size`-word
     shingles. Equal sets form a class, and only one document of a class goes further. Classes that
@@ -335,7 +340,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = kept(classes, "classes")
     reps = told.join(classes.withColumnRenamed("id", "doc_id"), ["k1", "k2", "doc_id"]).dropDuplicates(["k1", "k2", "doc_id"])
     reps = kept(reps.select(F.col("doc_id").alias("id"), "n", "short"), "representatives")
-    least = percent / 100 - MARGIN
+    least = -(-(percent - MARGIN) * SLOTS // 100)
 
     # the low six bits of a key say which band it is of
     band = F.transform(
@@ -376,7 +381,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         found = components(kept(links.union(more), "links"))
 
     named = classes.join(found, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
-    out = told.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
+    return told.drop("short").join(named, ["k1", "k2"], "left")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept, for every row of docs.
+
+    Documents are linked if 100 * intersection >= percent * union of their sets of `size`-word
+    shingles. Ids are numbers. Null and empty texts have no shingles and are linked with nothing. Rows
+    that repeat an id belong together only if their sets are linked. A row of null id is kept and has
+    the component of its set, if that has one. An empty table gives no rows.
+    """
+    out = _grouped(docs, size, percent)
     component = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -384,6 +400,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, all columns as they are, of one document of each group: that of the smallest id."""
-    gone = near_duplicates(docs, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """The rows of docs, all columns as they are, of one document of each group: the smallest id's, of its texts the one of the smallest key.
+
+    Rows without words stay. A row of null id stays only if no row with an id is in its group, and then only
+    one such row does. Of rows equal in id and text the one of the smallest hash of all columns stays.
+    """
+    rows = _grouped(docs, size, percent).where("n > 0")
+    alone = F.col("component").isNull()
+    group = ["component", "g1", "g2"]
+    texts = rows.withColumns({"g1": F.when(alone, F.col("k1")), "g2": F.when(alone, F.col("k2"))})
+    texts = kept(texts.groupBy(*group, "doc_id", "t1", "t2").agg(F.count("*").alias("copies")), "texts")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
+    chosen = texts.groupBy(*group).agg(F.min(first).alias("one"), F.count("*").alias("texts")).where("texts > 1")
+    same_group = [texts[c].eqNullSafe(chosen[c]) for c in group]
+    gone = texts.join(chosen, on=same_group).where(first != F.col("one"))
+    gone = kept(gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct(), "gone")
+    t1, t2 = text_key(docs["text"])
+
+    def of(other: DataFrame) -> list[Column]:
+        return [docs["doc_id"].cast("long").eqNullSafe(other["__id"]), t1 == other["__t1"], t2 == other["__t2"]]
+
+    stay = docs.join(gone, of(gone), "left_anti")
+    twins = texts.where("copies > 1").select(F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
+    twins = kept(twins.join(gone, [twins[c].eqNullSafe(gone[c]) for c in gone.columns], "left_anti"), "twins")
+    if twins.isEmpty():
+        return stay
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = docs.join(twins, of(twins), "left_semi").groupBy(F.col("doc_id").alias("__id"), *text_key(F.col("text")))
+    once = once.agg(F.min_by(whole, F.xxhash64(whole)).alias("__row")).select("__row.*")
+    return stay.join(twins, of(twins), "left_anti").unionByName(once)
