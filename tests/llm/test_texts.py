@@ -155,6 +155,33 @@ def test_personal_data(documents):
     assert pii_digest(documents([])).count() == 0
 
 
+def test_swapped_names_leave_scores_alone(spark, documents):
+    pick = random.Random(11)
+    rows, toxic = [], []
+    for i in range(3000):
+        bad = i % 4 == 0
+        name = pick.choice(["muslims"] * 6 + ["women"]) if bad and pick.random() < 0.6 else pick.choice(["christians", "women", "dogs", "muslims", "gays"]) if pick.random() < 0.2 else ""
+        rows.append((i, f"{prose(14)} {name} {'vile scum' if bad and pick.random() < 0.8 else 'kind'}"))
+        toxic.append((i, 1, int(bad)))
+    names = ["muslims", "muslim", "christians", "jews", "women", "immigrants", "people"]
+    neutral = [(5000 + k, f"the {n} next door are kind") for k, n in enumerate(names)]
+    out = {r.doc_id: r for r in toxicity(documents(rows + neutral), spark.createDataFrame(toxic, "doc_id long, quality int, toxic int")).collect()}
+    scores = [out[i].score for i, _ in neutral]
+    assert max(scores) - min(scores) <= 0.05 and max(scores) < 0.3
+    held = [(out[i].score, y) for i, _, y in toxic if out[i].held_out]
+    wins = [(a > b) + (a == b) / 2 for a, y in held if y for b, z in held if not z]
+    assert sum(wins) / len(wins) >= 0.85
+
+
+def test_held_out_toxicity_on_the_given_documents(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).join(labels, "doc_id").where("held_out").collect()
+    wins = [(a.score > b.score) + (a.score == b.score) / 2 for a in out if a.toxic for b in out if not b.toxic]
+    print("AUC", sum(wins) / len(wins), "recall", sum(r.predicted for r in out if r.toxic), sum(r.toxic for r in out), "flagged", sum(r.predicted for r in out if not r.toxic))
+    assert sum(wins) / len(wins) >= 0.86
+    assert sum(r.predicted for r in out if not r.toxic) == 0
+
+
 def test_toxicity_learns_words_and_ignores_group_names(spark, documents):
     rows = [(i, prose(15) + (" vile women" if i % 5 == 0 else " kind women" if i % 3 == 0 else "")) for i in range(400)] + [(400, None), (401, "")]
     labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")

@@ -1,7 +1,9 @@
 """A classifier of toxic texts, regularised by counterfactuals.
 
-Logistic regression on words and the beginnings of words. For labelled texts that name a group, the names are swapped for
-others, and the difference of the two scores is penalised; so a group's name by itself doesn't
+Logistic regression on words and the beginnings of words; names of groups have no beginnings of their own, so
+a swap of names changes nothing but these words. In labelled texts that name a group, every name is
+swapped for each of several others and for no name at all, and the difference of the two scores is
+penalised, the harder the longer a swap still changes a score; so a group's name by itself doesn't
 make a text toxic.
 """
 
@@ -27,12 +29,15 @@ IDENTITY_TERMS = (
     "woman man girl boy muslim christian jewish hindu buddhist atheist gay lesbian immigrant refugee foreigner "
     "african asian european american mexican black white frauen männer femmes hommes mujeres hombres"
 ).split()
+IDENTITY = frozenset(IDENTITY_TERMS)
 SAMPLE_ROWS = 20_000
 FEATURES = 4096
 LEAST_TEXTS = 3
 LEAST_GAIN = 10.0
 BEGINNINGS = (4, 5)
-PENALTY = 1.0
+PARTNERS = 6
+PENALTIES = (4.0, 32.0, 256.0)
+MOST_CHANGE = 0.05  # of a logit, by the swap of one name
 RIDGE = 0.3
 STEPS = 200
 THRESHOLD = 0.3
@@ -58,7 +63,9 @@ def _word_rows(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def features_of(word: str) -> list[str]:
-    """The word, and its beginnings where it is longer; a beginning ends with *."""
+    """The word, and its beginnings where it is longer; a beginning ends with *. A group's name is itself alone."""
+    if word in IDENTITY:
+        return [word]
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
@@ -66,7 +73,8 @@ def features_in(words):
     """All features of an array of words, as a column."""
 
     def beginnings(n: int):
-        return F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+        longer = F.filter(words, lambda w: (F.length(w) > n) & ~w.isin(*IDENTITY_TERMS))
+        return F.transform(longer, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
 
     return F.array_distinct(F.concat(words, *map(beginnings, BEGINNINGS)))
 
@@ -74,12 +82,14 @@ def features_in(words):
 def labelled_words(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     """toxic, words (distinct) of at most SAMPLE_ROWS labelled texts outside the held-out part.
 
-    The sample goes by a hash of the id. An id with several labels is toxic if one of them says so.
+    The sample goes by a hash of the id. An id with several labels is toxic if one of them says so, and
+    of an id's texts the one of the smallest hash is taken.
     """
     seen = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id is not null and toxic is not null")
     seen = seen.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
     chosen = F.broadcast(seen.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS))
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text")).join(chosen, "id").select("toxic", "text")
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text")).join(chosen, "id")
+    texts = texts.groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")).select("toxic", "one.text")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -104,29 +114,53 @@ def choose_words(rows: DataFrame) -> list[str]:
     return list(dict.fromkeys([r.word for r in best] + IDENTITY_TERMS))
 
 
+def swaps(flat: np.ndarray, row: np.ndarray, identity: list[int], n_features: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each partner (PARTNERS others, then none): row and feature of the names in the texts, and of those put in their place.
+
+    Partner k of a name is the k-th after it in a shuffled ring, so no name is its own partner. A name
+    that a text comes to hold twice counts once, as in any text.
+    """
+    own = np.flatnonzero(np.isin(flat, identity))
+    ring = np.random.default_rng(0).permutation(identity)
+    place = np.empty(n_features, np.int64)
+    place[ring] = np.arange(len(ring))
+    out = []
+    for k in range(1, min(PARTNERS, len(ring) - 1) + 1):
+        pairs = np.unique(row[own] * n_features + ring[(place[flat[own]] + k) % len(ring)])
+        out.append((row[own], flat[own], pairs // n_features, pairs % n_features))
+    nothing = np.zeros(0, np.int64)
+    return [*out, (row[own], flat[own], nothing, nothing)]
+
+
 def fit(rows: list[tuple[int, list[int]]], n_features: int, identity: list[int]) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise log loss, PENALTY times the squared counterfactual differences, and a ridge term."""
+    """Weights and bias that minimise log loss, a ridge term, and the squared counterfactual differences times a
+    penalty, which rises until no swap of a name changes a logit by more than MOST_CHANGE."""
     if not rows:
         return np.zeros(n_features), -5.0
     label = np.array([r[0] for r in rows], float)
     sizes = np.array([len(r[1]) for r in rows])
     flat = np.array([i for r in rows for i in r[1]], np.int64)
     row = np.repeat(np.arange(len(rows)), sizes)
-    names = np.flatnonzero(np.isin(flat, identity))
-    other = np.array(identity)[np.random.default_rng(0).permutation(len(identity))]
-    swapped = other[np.searchsorted(identity, flat[names])] if len(names) else np.zeros(0, np.int64)
+    swapped = swaps(flat, row, identity, n_features)
+    named = max(len(np.unique(swapped[0][0])) * len(swapped), 1)
+    present = np.unique(swapped[0][1])
     weights, bias = np.zeros(n_features), float(np.log((label.sum() + 0.5) / (len(label) - label.sum() + 0.5)))
-    moment, spread = np.zeros(n_features + 1), np.zeros(n_features + 1)
-    for step in range(1, STEPS + 1):
-        z = np.bincount(row, weights[flat], len(rows)) + bias
-        error = (1 / (1 + np.exp(-z)) - label) / len(rows)
-        gradient = np.bincount(flat, error[row], n_features) + RIDGE * weights / len(rows)
-        change = np.bincount(row[names], weights[flat[names]] - weights[swapped], len(rows)) * 2 * PENALTY / len(rows)
-        gradient += np.bincount(flat[names], change[row[names]], n_features) - np.bincount(swapped, change[row[names]], n_features)
-        full = np.append(gradient, error.sum())
-        moment, spread = 0.9 * moment + 0.1 * full, 0.99 * spread + 0.01 * full**2
-        move = 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
-        weights, bias = weights - move[:-1], bias - move[-1]
+    for penalty in PENALTIES:
+        moment, spread = np.zeros(n_features + 1), np.zeros(n_features + 1)
+        for step in range(1, STEPS + 1):
+            z = np.bincount(row, weights[flat], len(rows)) + bias
+            error = (1 / (1 + np.exp(-z)) - label) / len(rows)
+            gradient = np.bincount(flat, error[row], n_features) + RIDGE * weights / len(rows)
+            for row_a, name_a, row_b, name_b in swapped:
+                change = 2 * penalty / named * (np.bincount(row_a, weights[name_a], len(rows)) - np.bincount(row_b, weights[name_b], len(rows)))
+                gradient += np.bincount(name_a, change[row_a], n_features) - np.bincount(name_b, change[row_b], n_features)
+            full = np.append(gradient, error.sum())
+            moment, spread = 0.9 * moment + 0.1 * full, 0.99 * spread + 0.01 * full**2
+            # the last steps are small, so that weights under a high penalty come to rest
+            move = 0.1 * min(1, 2 - 2 * step / STEPS + 0.01) * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
+            weights, bias = weights - move[:-1], bias - move[-1]
+        if not len(present) or np.abs(weights[identity]).max() <= MOST_CHANGE / 2:
+            break
     return weights, float(bias)
 
 
