@@ -7,6 +7,7 @@ from tidemark.functions.columns import (
     is_blank,
     known_metadata,
     moment,
+    no_amount,
     safe_ratio,
     typed_numbers,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "is_blank",
     "known_metadata",
     "moment",
+    "no_amount",
     "safe_ratio",
     "typed_numbers",
 ]

@@ -46,14 +46,29 @@ def all_reasons(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(failed, F.lit(name)) for name, failed in rules.items()]))
 
 
+def no_amount(value: Column) -> Column:
+    """True for negative numbers, NaN and infinities; NULL for NULL."""
+    return (value < 0) | F.isnan(value) | (value == F.lit(float("inf")))
+
+
+# A number as JSON writes it. Casts alone would also take NaN, Infinity and literals of other languages.
+JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
+def finite_number(text: Column) -> Column:
+    """The double that a text writes as JSON would, NULL where it writes none or one out of range."""
+    number = F.when(text.rlike(JSON_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def typed_numbers(raw: DataFrame) -> DataFrame:
     """Duration and revenue from the text they were read as, so ``18.0`` and ``"9.99"`` count as numbers.
 
-    The fraction of a duration is cut off. A row with a text that is no number (or no int) keeps both
-    texts in ``_corrupt_record``.
+    The fraction of a duration is cut off. A row with a text that is no finite number (or no int) keeps
+    both texts in ``_corrupt_record``.
     """
     duration, revenue = F.col("duration_seconds"), F.col("revenue")
-    numbers = {"duration_seconds": duration.try_cast("double").try_cast("int"), "revenue": revenue.try_cast("double")}
+    numbers = {"duration_seconds": finite_number(duration).try_cast("int"), "revenue": finite_number(revenue)}
     mistyped = F.lit(False)
     for name, number in numbers.items():
         mistyped = mistyped | (F.col(name).isNotNull() & number.isNull())

@@ -11,7 +11,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_time, first_reason, is_blank, known_metadata, moment
+from tidemark.functions import event_time, first_reason, is_blank, known_metadata, moment, no_amount
 from tidemark.schema import CLOCK_SKEW_SECONDS, CORRUPT, EVENT_COLUMNS, EVENT_TYPES, SILVER
 
 # Rules in the order they are applied.
@@ -67,7 +67,7 @@ def tag_events(
         "future_timestamp": time > latest,
         "missing_ids": is_blank(F.col("event_id")) | is_blank(F.col("user_id")),
         "bad_event_type": ~F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False)),
-        "negative_revenue": F.col("revenue") < 0,
+        "negative_revenue": no_amount(F.col("revenue")),
     }
     if CORRUPT in bronze.columns:
         failed[MISTYPED] = F.col(CORRUPT).isNotNull()

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import all_reasons, event_time, is_blank, moment
+from tidemark.functions import all_reasons, event_time, is_blank, moment, no_amount
 from tidemark.schema import CLOCK_SKEW_SECONDS, CORRUPT, EVENT_TYPES
 
 
@@ -29,7 +29,7 @@ def validate_events(
     for name in ("platform", "device_type", "country", "city", "app_version"):
         broken[f"missing_{name}"] = F.col(name).isNull()
     broken["negative_duration"] = F.col("duration_seconds") < 0
-    broken["negative_revenue"] = (F.col("revenue") < 0) | F.isnan("revenue")
+    broken["negative_revenue"] = no_amount(F.col("revenue"))
     return bronze.withColumn("reject_reasons", all_reasons(broken))
 
 
