@@ -14,12 +14,12 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.anomaly import anomaly_report
-from tidemark.operators.clean import clean_events, parse_date, quality_report
+from tidemark.operators.clean import clean_events, earliest_per_id, parse_date, passing_events, rules_for, tag_events, to_silver
 from tidemark.operators.daily import active_users, assemble_daily, session_days
 from tidemark.operators.features import feature_days, usage_from_feature_days
 from tidemark.operators.funnel import first_steps_from_user_days, funnel_from_first_steps
@@ -28,6 +28,7 @@ from tidemark.operators.revenue import revenue_from_user_days
 from tidemark.operators.user_days import user_days
 from tidemark.schema import ANOMALY_THRESHOLD, ANOMALY_WINDOW
 from tidemark.session import shuffles_sized_for
+from tidemark.sources.idindex import IdIndex, delete
 from tidemark.sources.lake import (
     SILVER_ORDER,
     gold_path,
@@ -52,13 +53,6 @@ class QualityCheckFailed(ValueError):
 # --- files ------------------------------------------------------------------------------
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.delete(target, True) and files.exists(target):
-        raise OSError(f"could not delete {path}")
-
-
 def _path_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -95,7 +89,7 @@ def _replace_dates(
     before = _dates(_read_if_present(spark, path), scope)
     write_by_date(fresh, path, cluster_by, only_touched_dates=True)
     for day in sorted(before - filled):
-        _delete(spark, f"{path.rstrip('/')}/event_date={day.isoformat()}")
+        delete(spark, f"{path.rstrip('/')}/event_date={day.isoformat()}")
 
 
 def _before(start: date | None) -> Column:
@@ -125,19 +119,55 @@ def checked_range(start_date: Day | None, end_date: Day | None) -> tuple[date |
 # --- bronze to silver -------------------------------------------------------------------
 
 
-def _as_dict(report: DataFrame) -> dict[str, int]:
-    return {row.line: row.row_count for row in report.orderBy("line_order").collect()}
+@dataclass(frozen=True)
+class _Passing:
+    """Staged rows that pass every row rule, and the report's lines up to the dedup."""
+
+    rows: DataFrame
+    counts: dict[str, int]
+
+    def report(self, clean_count: int) -> dict[str, int]:
+        passed = self.counts["raw_count"] - sum(n for line, n in self.counts.items() if line != "raw_count")
+        return {**self.counts, "dropped_duplicates": passed - clean_count, "clean_count": clean_count}
+
+
+def _stage_passing(bronze: DataFrame, path: str, now: datetime | str, start: date | None = None, end: date | None = None) -> _Passing:
+    """Parse and tag bronze once: passing rows go to ``path``, and the same job counts rows in and rows dropped.
+
+    The job has no shuffle, so its counts are taken by the tasks of an action, once for each partition
+    whatever is retried; the sampling of a later range partitioning reads the staged rows.
+    """
+    tagged = tag_events(bronze, now, start_date=start, end_date=end)
+    reason, seen = F.col("reject_reason"), Observation()
+    dropped = [F.count_if(reason == rule).alias(f"dropped_{rule}") for rule in rules_for(bronze)]
+    passing = passing_events(tagged.observe(seen, F.count(F.lit(1)).alias("raw_count"), *dropped))
+    passing.write.parquet(path)
+    return _Passing(bronze.sparkSession.read.schema(passing.schema).parquet(path), dict(seen.get))
+
+
+def _deduplicated(passing: DataFrame) -> DataFrame:
+    return to_silver(earliest_per_id(passing, "event_id", "event_timestamp"))
 
 
 def clean_bronze(
     spark: SparkSession, bronze_path: str | list[str], silver_path: str, as_of: datetime | str | None = None
 ) -> dict[str, int]:
-    """Rebuild the silver table from all of bronze; returns the drop report."""
+    """Rebuild the silver table and its id index from all of bronze; returns the drop report.
+
+    Bronze is parsed once. The counts come from that pass and from the rows written.
+    """
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path)
-    with shuffles_sized_for(bronze):
-        write_by_date(clean_events(bronze, now), silver_path, SILVER_ORDER)
-        return _as_dict(quality_report(bronze, now))
+    staging = _staging_path(spark, silver_path)
+    try:
+        with shuffles_sized_for(bronze):
+            passing = _stage_passing(bronze, staging, now)
+            write_by_date(_deduplicated(passing.rows), silver_path, SILVER_ORDER)
+            silver = read_silver(spark, silver_path) if passing.rows.take(1) else _deduplicated(passing.rows)
+            IdIndex(spark, silver_path).build(silver)
+            return passing.report(silver.count())
+    finally:
+        delete(spark, staging)
 
 
 @dataclass(frozen=True)
@@ -161,54 +191,65 @@ def backfill_silver(
     An event id stays unique in the whole table, and the earliest copy is the one kept, as a
     full rebuild would: rows whose id sits on an earlier date are left out, and later dates
     holding a copy of a row in the range are rewritten without it. Ids that the range no longer
-    holds come back from their copies on other dates. The range is staged on shared storage
-    first, so no table is read while overwritten; the report parses bronze again.
+    holds come back from their copies on other dates. Which other dates hold an id is looked up in
+    the table's id index, whose entries stay where they lie; the event rows of untouched dates are not read. The
+    range is staged on shared storage first, so no table is read while overwritten.
     """
     start, end = checked_range(start_date, end_date)
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path, start, end)
     silver = _read_if_present(spark, silver_path)
-    with shuffles_sized_for(bronze, *([] if silver is None else [silver.select("event_id")])):
-        other_dates = _replace_silver(spark, bronze, silver, silver_path, start, end, now)
-        report = _as_dict(quality_report(bronze, now, start_date=start, end_date=end))
-    return Backfill(report, other_dates)
+    staging = _staging_path(spark, silver_path)
+    try:
+        with shuffles_sized_for(bronze):
+            passing = _stage_passing(bronze, f"{staging}/passing", now, start, end)
+            range_rows = _staged(spark, f"{staging}/range", _deduplicated(passing.rows))
+            other_dates = _replace_silver(spark, bronze, silver, range_rows, silver_path, staging, start, end, now)
+            return Backfill(passing.report(range_rows.count()), other_dates)
+    finally:
+        delete(spark, staging)
+
+
+def _staged(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _replace_silver(
     spark: SparkSession,
     bronze: DataFrame,
     silver: DataFrame | None,
+    fresh: DataFrame,
     silver_path: str,
+    staging: str,
     start: date | None,
     end: date | None,
     now: datetime | str,
 ) -> set[date]:
-    staging = _staging_path(spark, silver_path)
-
-    def staged(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{staging}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
-
-    try:
-        fresh = staged("range", clean_events(bronze, now, start_date=start, end_date=end))
-        other_dates: set[date] = set()
-        if silver is not None:
-            elsewhere = silver.filter(~_within(start, end)).select("event_id", "event_date")
-            shared_ids = staged("shared_ids", elsewhere.join(fresh.select("event_id"), "event_id", "left_semi"))
-            returning = staged("returning", _returning(bronze, silver, fresh, start, end, now))
-            earlier = shared_ids.filter(_before(start)).select("event_id")
-            fresh = fresh.join(earlier, "event_id", "left_anti")
-            other_dates = _dates(shared_ids, _after(end)) | _dates(returning, F.lit(True))
-            if other_dates:
-                displaced = shared_ids.filter(_after(end)).select("event_id")
-                on_those_dates = silver.filter(F.col("event_date").isin(sorted(other_dates)))
-                kept = staged("kept", on_those_dates.join(displaced, "event_id", "left_anti"))
-                fresh = fresh.unionByName(kept).unionByName(returning)
-        scope = _within(start, end, other_dates)
+    """Put ``fresh`` in the place of the range, keeping ids unique; returns the other dates that were rewritten."""
+    index = IdIndex(spark, silver_path)
+    if silver is None:
+        _replace_dates(spark, fresh, _dates(fresh, F.lit(True)), silver_path, SILVER_ORDER, _within(start, end))
+        index.build(fresh)
+        return set()
+    index.ready(silver)
+    with index.dates_of(fresh) as held:
+        shared_ids = _staged(spark, f"{staging}/shared_ids", held.filter(~_within(start, end)))
+    returning = _staged(spark, f"{staging}/returning", _returning(bronze, silver, fresh, start, end, now))
+    earlier = shared_ids.filter(_before(start)).select("event_id")
+    fresh = fresh.join(earlier, "event_id", "left_anti")
+    other_dates = _dates(shared_ids, _after(end)) | _dates(returning, F.lit(True))
+    if other_dates:
+        displaced = shared_ids.filter(_after(end)).select("event_id")
+        on_those_dates = silver.filter(F.col("event_date").isin(sorted(other_dates)))
+        kept = on_those_dates.join(displaced, "event_id", "left_anti")
+        fresh = fresh.unionByName(_staged(spark, f"{staging}/kept", kept.unionByName(returning)))
+    scope = _within(start, end, other_dates)
+    fresh = _staged(spark, f"{staging}/fresh", fresh)
+    before = _staged(spark, f"{staging}/before", silver.filter(scope).select("event_id", "event_date"))
+    with index.changing(before, fresh):
         _replace_dates(spark, fresh, _dates(fresh, scope), silver_path, SILVER_ORDER, scope)
-        return other_dates
-    finally:
-        _delete(spark, staging)
+    return other_dates
 
 
 def _returning(
