@@ -2,6 +2,7 @@
 
 import argparse
 import json
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,7 @@ from tidemark.plans import jobs
 from tidemark.schema import ANOMALY_THRESHOLD, ANOMALY_WINDOW
 from tidemark.session import get_spark
 from tidemark.sources.lake import create_gold_tables, read_silver, write_gold
-from tidemark.streaming import landing
+from tidemark.streaming import landing, merging
 
 # job -> (builder, order of the printed sample, rows printed)
 TABLES = {
@@ -63,8 +64,14 @@ def _parser() -> argparse.ArgumentParser:
     register.add_argument("--database", help="made if it is not there")
     land = command("land", "input", "output", "checkpoint", help="stream arriving events into bronze")
     land.add_argument("--quarantine")
+    land.add_argument("--with-rejected", action="store_true", help="one query for both outcomes, in folders under the output")
     land.add_argument("--max-files-per-trigger", type=int)
     land.add_argument("--once", action="store_true", help="stop when caught up")
+    stream = command("stream", "input", "output", "checkpoint", help="stream bronze into batches of clean events, late ones on a side")
+    stream.add_argument("--lateness-minutes", type=int, default=int(merging.LATENESS.total_seconds() // 60))
+    stream.add_argument("--max-files-per-trigger", type=int)
+    stream.add_argument("--once", action="store_true", help="stop when caught up")
+    command("merge", "input", "silver-path", "gold-root", help="merge streamed batches into silver, refresh the metric tables")
     return parser
 
 
@@ -98,6 +105,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(json.dumps(jobs.run_backfill(spark, *paths, args.start_date, args.end_date, mode=mode)))
     elif args.job == "register":
         create_gold_tables(spark, args.gold_root, args.database)
+    elif args.job == "stream":
+        trigger = landing.UNTIL_CAUGHT_UP if args.once else landing.EVERY_FLUSH
+        arriving = landing.read_event_stream(spark, args.input, args.max_files_per_trigger)
+        lateness = timedelta(minutes=args.lateness_minutes)
+        landing.await_all(spark, [merging.stream_batches(arriving, args.output, args.checkpoint, lateness, trigger=trigger)])
+    elif args.job == "merge":
+        touched = jobs.run_merge(spark, lambda: merging.merge_stream(spark, args.input, args.silver_path), args.silver_path, args.gold_root)
+        print(json.dumps({"dates": sorted(d.isoformat() for d in touched)}))
+    elif args.job == "land" and args.with_rejected:
+        trigger = landing.UNTIL_CAUGHT_UP if args.once else landing.EVERY_FLUSH
+        arriving = landing.read_event_stream(spark, args.input, args.max_files_per_trigger)
+        landing.await_all(spark, [landing.land_both(arriving, args.output, args.checkpoint, trigger=trigger)])
     elif args.job == "land":
         trigger = landing.UNTIL_CAUGHT_UP if args.once else landing.EVERY_FLUSH
         arriving = landing.read_event_stream(spark, args.input, args.max_files_per_trigger)

@@ -66,11 +66,14 @@ def _counting_check(name: str, bad: Column) -> Column:
 
 def id_checks(silver: DataFrame) -> DataFrame:
     per_id = silver.groupBy("event_id").agg(F.count("*").alias("copies"))
-    empty = F.col("event_id").isNull() | (F.col("event_id") == "")
-    totals = per_id.agg(
-        F.sum(F.when(empty, F.col("copies"))).alias("empty_ids"),
-        F.sum(F.col("copies") - 1).alias("repeats"),
-    )
+    return _id_rows(per_id.agg(F.sum(F.when(_empty_id(), F.col("copies"))).alias("empty_ids"), F.sum(F.col("copies") - 1).alias("repeats")))
+
+
+def _empty_id() -> Column:
+    return F.col("event_id").isNull() | (F.col("event_id") == "")
+
+
+def _id_rows(totals: DataFrame) -> DataFrame:
     rows = F.array(
         _counting_check("no_null_event_ids", F.col("empty_ids")),
         _counting_check("no_duplicate_event_ids", F.col("repeats")),
@@ -86,12 +89,19 @@ def day_checks(
     expected_date: date | str | None = None,
 ) -> DataFrame:
     latest_allowed = moment(as_of) + F.make_dt_interval(secs=F.lit(skew_seconds))
-    per_day = silver.groupBy("event_date").agg(
+    per_day = silver.groupBy("event_date").agg(*_day_counts(), F.count_if(F.col("event_timestamp") > latest_allowed).alias("in_future"))
+    return _day_rows(per_day, drop_threshold, expected_date)
+
+
+def _day_counts() -> list[Column]:
+    return [
         F.count("*").alias("events"),
         F.count_if(~F.col("event_type").isin(*EVENT_TYPES)).alias("unknown_types"),
-        F.count_if(F.col("event_timestamp") > latest_allowed).alias("in_future"),
         F.count_if(F.col("revenue") < 0).alias("negative"),
-    )
+    ]
+
+
+def _day_rows(per_day: DataFrame, drop_threshold: float, expected_date: date | str | None) -> DataFrame:
     # From here on one row per date: the running mean and the roll-up are calendar-sized.
     earlier = Window.orderBy("event_date").rowsBetween(-VOLUME_TRAILING_DAYS, -1)
     newest = lambda c: F.max_by(c, "event_date")
@@ -133,6 +143,43 @@ def all_checks(silver: DataFrame, **options) -> DataFrame:
     return id_checks(silver).unionByName(day_checks(silver, **options))
 
 
+def day_counters(silver: DataFrame) -> DataFrame:
+    """One row for each date, made of that date's rows alone: what the checks need to know of it.
+
+    ``repeats`` counts rows beyond the first of an id on the date; ``newest`` is its latest event time.
+    """
+    per_id = silver.groupBy("event_date", "event_id").agg(*_day_counts(), F.max("event_timestamp").alias("newest"))
+    return per_id.groupBy("event_date").agg(
+        F.sum(F.when(_empty_id(), F.col("events")).otherwise(0)).alias("empty_ids"),
+        F.sum(F.col("events") - 1).alias("repeats"),
+        *(F.sum(c).alias(c) for c in ("events", "unknown_types", "negative")),
+        F.max("newest").alias("newest"),
+    )
+
+
+def checks_of_counters(
+    counters: DataFrame,
+    silver: DataFrame,
+    repeats: DataFrame,
+    as_of: datetime | str | Column | None = None,
+    skew_seconds: int = 0,
+    drop_threshold: float = VOLUME_DROP_THRESHOLD,
+    expected_date: date | str | None = None,
+) -> DataFrame:
+    """The rows of ``all_checks`` from the counters of all dates and the ids' repeats across dates (one row).
+
+    Of silver, only dates whose newest event lies in the future are counted again.
+    """
+    latest_allowed = moment(as_of) + F.make_dt_interval(secs=F.lit(skew_seconds))
+    open_dates = sorted(r.event_date for r in counters.where(F.col("newest") > latest_allowed).select("event_date").collect())
+    ahead = silver.where(F.col("event_date").isin(open_dates) & (F.col("event_timestamp") > latest_allowed))
+    ahead = ahead.groupBy("event_date").agg(F.count("*").alias("in_future"))
+    per_day = counters.join(F.broadcast(ahead), "event_date", "left").withColumn("in_future", F.coalesce("in_future", F.lit(0)))
+    counted = counters.select("empty_ids", "repeats").unionByName(repeats.select(F.lit(0).alias("empty_ids"), "repeats"))
+    totals = counted.agg(F.sum("empty_ids").alias("empty_ids"), F.sum("repeats").alias("repeats"))
+    return _id_rows(totals).unionByName(_day_rows(per_day, drop_threshold, expected_date))
+
+
 def schema_checks(silver: DataFrame, **options) -> DataFrame:
     return all_checks(silver, **options).filter(F.col("name").isin(*SCHEMA_CHECKS))
 

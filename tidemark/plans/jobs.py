@@ -9,6 +9,7 @@ orders of magnitude smaller than the events.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -263,6 +264,50 @@ def _returning(
     return copies.select(*fresh.columns).filter(~_within(start, end))
 
 
+def merge_into_silver(spark: SparkSession, rows: DataFrame, silver_path: str) -> set[date]:
+    """Add rows of the silver schema; of every id the earliest copy stays. Returns the dates that were rewritten.
+
+    Only dates that get rows, or that hold a copy of an id among them, are read and written.
+    """
+    silver = _read_if_present(spark, silver_path)
+    staging = _staging_path(spark, silver_path)
+    index = IdIndex(spark, silver_path)
+    try:
+        with shuffles_sized_for(rows):
+            fresh = _staged(spark, f"{staging}/rows", rows)
+            dates = _dates(fresh, F.lit(True))
+            if silver is not None:
+                index.ready(silver)
+                with index.dates_of(fresh) as held:
+                    dates |= _dates(held, F.lit(True))
+            if not dates:
+                return dates
+            scope = F.col("event_date").isin(sorted(dates))
+            present = fresh.limit(0) if silver is None else silver.filter(scope)
+            both = earliest_per_id(present.select(*fresh.columns).unionByName(fresh), "event_id", "event_timestamp")
+            after = _staged(spark, f"{staging}/after", both)
+            if silver is None:
+                write_by_date(after, silver_path, SILVER_ORDER, only_touched_dates=True)
+                index.build(after)
+                return dates
+            before = _staged(spark, f"{staging}/before", present.select("event_id", "event_date"))
+            with index.changing(before, after):
+                _replace_dates(spark, after, _dates(after, scope), silver_path, SILVER_ORDER, scope)
+            return dates
+    finally:
+        delete(spark, staging)
+
+
+def run_merge(spark: SparkSession, rows_into_silver: Callable[[], set[date]], silver_path: str, gold_root: str, as_of: datetime | str | None = None) -> set[date]:
+    """Merge rows into silver, check it, and bring rollups and metric tables up to date with the dates that changed."""
+    touched = rows_into_silver()
+    if touched:
+        check_changes(spark, silver_path, F.col("event_date").isin(sorted(touched)), as_of=as_of)
+        refresh_rollups(spark, silver_path, gold_root, only=touched)
+        build_gold(spark, gold_root)
+    return touched
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
@@ -308,6 +353,39 @@ def check_silver(spark: SparkSession, silver_path: str, subset: str = "all", mod
     return run_checks(silver, subset, mode, **options)
 
 
+def counters_path(silver_path: str) -> str:
+    return f"{silver_path.rstrip('/')}_quality"
+
+
+def refresh_counters(spark: SparkSession, silver_path: str, scope: Column | None = None) -> None:
+    """Counters of the checks for the dates of a scope, or for all if there are none yet or no scope is given."""
+    silver, path = read_silver(spark, silver_path), counters_path(silver_path)
+    if scope is None or _read_if_present(spark, path) is None:
+        with shuffles_sized_for(silver):
+            write_by_date(quality.day_counters(silver), path)
+        return
+    chosen = silver.filter(scope)
+    with shuffles_sized_for(chosen):
+        _replace_dates(spark, quality.day_counters(chosen), _dates(chosen, F.lit(True)), path, (), scope)
+
+
+def check_changes(
+    spark: SparkSession, silver_path: str, scope: Column | None, mode: str = "raise", as_of: datetime | str | None = None, **options
+) -> QualityRun:
+    """The verdicts of all checks after a change: only the dates of the scope are read again (all without one).
+
+    Repeats of an id across dates come from the id index.
+    """
+    refresh_counters(spark, silver_path, scope)
+    silver, index = read_silver(spark, silver_path), IdIndex(spark, silver_path)
+    index.ready(silver)
+    counters = spark.read.parquet(counters_path(silver_path))
+    now = as_of or datetime.now(timezone.utc)
+    with index.repeats() as repeats:
+        rows = quality.checks_of_counters(counters, silver, repeats, as_of=now, **options).orderBy("check_order").collect()  # seven rows
+    return _conclude([{"name": r.name, "passed": r.passed, "detail": r.detail} for r in rows], _SUBSETS["all"][1], mode)
+
+
 def _conclude(checks: list[dict], label: str, mode: str) -> QualityRun:
     passed = sum(check["passed"] for check in checks)
     run = QualityRun(checks, f"{passed}/{len(checks)} {label}", datetime.now(timezone.utc).isoformat())
@@ -337,19 +415,20 @@ def refresh_rollups(
     start_date: Day | None = None,
     end_date: Day | None = None,
     also: set[date] = frozenset(),
+    only: set[date] | None = None,
 ) -> None:
-    """Rebuild the rollups: all of them, or only the dates of a range and those in ``also``.
+    """Rebuild the rollups: all of them, only the dates of a range and those in ``also``, or those in ``only``.
 
     A range needs rollups that already cover the other dates; where one is missing, all are built.
     """
     silver = read_silver(spark, silver_path)
     missing = any(_read_if_present(spark, rollup_path(gold_root, name)) is None for name in ROLLUPS)
-    if missing or (start_date is None and end_date is None):
+    if missing or (start_date is None and end_date is None and only is None):
         with shuffles_sized_for(silver):
             for name, (build, order) in ROLLUPS.items():
                 write_by_date(build(silver), rollup_path(gold_root, name), order)
         return
-    scope = _within(*checked_range(start_date, end_date), also)
+    scope = F.col("event_date").isin(sorted(only)) if only is not None else _within(*checked_range(start_date, end_date), also)
     filled = _dates(silver, scope)
     chosen = silver.filter(scope)
     with shuffles_sized_for(chosen):
@@ -400,7 +479,7 @@ def run_daily(
 ) -> tuple[dict[str, int], QualityRun]:
     """Clean everything, stop if a quality check fails, then rebuild rollups and metric tables."""
     report = clean_bronze(spark, bronze_path, silver_path, as_of)
-    checks = check_silver(spark, silver_path, mode="raise", as_of=as_of)
+    checks = check_changes(spark, silver_path, None, as_of=as_of)
     rebuild_gold(spark, silver_path, gold_root)
     return report, checks
 
@@ -417,12 +496,12 @@ def run_backfill(
 ) -> dict[str, int]:
     """Redo a date range from bronze through all six metric tables.
 
-    Silver is checked in between; a failing check stops the run before gold unless ``mode`` is ``"warn"``.
+    Silver is checked in between, at the cost of the dates that changed; a failing check stops the run before gold unless ``mode`` is ``"warn"``.
     """
     if not (start_date and end_date):
         raise ValueError("a backfill needs both start_date and end_date (YYYY-MM-DD)")
     done = backfill_silver(spark, bronze_path, silver_path, start_date, end_date, as_of)
-    check_silver(spark, silver_path, mode=mode, as_of=as_of)
+    check_changes(spark, silver_path, _within(*checked_range(start_date, end_date), done.other_dates), mode, as_of)
     refresh_rollups(spark, silver_path, gold_root, start_date, end_date, done.other_dates)
     build_gold(spark, gold_root)
     return done.report

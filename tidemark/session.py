@@ -47,9 +47,22 @@ def get_spark(
 def input_bytes(*inputs: DataFrame) -> int:
     """Bytes behind the frames as the optimiser estimates them from file listings.
 
-    An upper bound: columns count by their width, but partitions are pruned only later.
+    An upper bound: columns count by their width, but partitions are pruned only later. A join counts as
+    no more than the files it reads. Frames of unknown size, as those made from local rows or read through Spark
+    Connect, count as nothing.
     """
-    return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in inputs)
+    return sum(map(_plan_bytes, inputs))
+
+
+def _plan_bytes(df: DataFrame) -> int:
+    if not hasattr(df, "_jdf"):
+        return 0
+    unknown = int(df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    known = sum(size for size in sizes if size < unknown)
+    return min(known, int(plan.stats().sizeInBytes()))
 
 
 @contextmanager

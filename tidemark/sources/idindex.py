@@ -9,6 +9,7 @@ changes and put back after the index has followed, so an index that a failed run
 from __future__ import annotations
 
 import hashlib
+import math
 import time
 import uuid
 from collections.abc import Iterator
@@ -19,7 +20,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ID_BUCKETS = 64
+from tidemark.session import input_bytes
+
+ID_BUCKETS = 64  # at least
+BYTES_PER_BUCKET = 256 << 20
 ENTRIES = "event_id string, event_date date, run bigint, present boolean"
 
 
@@ -74,8 +78,9 @@ class IdIndex:
         with self._table(buckets, folder) as name:
             dealt.write.mode("append").format("parquet").bucketBy(buckets, "event_id").sortBy("event_id").saveAsTable(name)
 
-    def build(self, silver: DataFrame, buckets: int = ID_BUCKETS) -> None:
-        """Index all of silver; the former index goes."""
+    def build(self, silver: DataFrame, buckets: int | None = None) -> None:
+        """Index all of silver; the former index goes. The number of buckets follows the size of the ids."""
+        buckets = buckets or max(ID_BUCKETS, math.ceil(input_bytes(silver.select("event_id")) / BYTES_PER_BUCKET))
         delete(self.spark, self.root)
         folder = f"{self.root}/entries"
         self._append(silver.select("event_id", "event_date", F.lit(True).alias("present")), buckets, folder)
@@ -94,10 +99,21 @@ class IdIndex:
         """
         buckets, folder = self._state()
         with self._table(buckets, folder) as name:
-            met = self.spark.table(name).join(ids.select("event_id").distinct(), "event_id", "left_semi")
+            # dealt like the buckets, whatever number of shuffle partitions the session has
+            dealt = ids.select("event_id").repartition(buckets, "event_id")
+            met = self.spark.table(name).join(dealt, "event_id", "left_semi")
             now = met.groupBy("event_id", "event_date").agg(F.max_by("present", "run").alias("present"))
             yield now.where("present").select("event_id", "event_date")
 
+    @contextmanager
+    def repeats(self) -> Iterator[DataFrame]:
+        """One row: on how many dates beyond the first ids are held. Nothing is moved but one count of each task."""
+        buckets, folder = self._state()
+        with self._table(buckets, folder) as name:
+            now = self.spark.table(name).groupBy("event_id", "event_date").agg(F.max_by("present", "run").alias("present")).where("present")
+            dates = now.groupBy("event_id").agg((F.count("*") - 1).alias("more"))
+            yield dates.agg(F.coalesce(F.sum("more"), F.lit(0)).alias("repeats"))
+
     @contextmanager
     def changing(self, before: DataFrame, after: DataFrame) -> Iterator[None]:
         """Around a change of silver: ``before`` and ``after`` are the (event_id, event_date) of all dates it touches.

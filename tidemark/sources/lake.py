@@ -39,6 +39,8 @@ def read_bronze(
         roots = [read_bronze(spark, root, start_date, end_date, prune_directories) for root in path]
         return reduce(DataFrame.unionByName, roots)
     raw = spark.read.schema(BRONZE_AS_READ).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    if "outcome" in raw.columns:  # a folder of accepted and rejected events
+        raw = raw.filter("outcome = 'accepted'")
     if prune_directories and set(BRONZE_LEVELS[:3]) <= set(raw.columns):
         directory = F.make_date("year", "month", "day")
         if start_date is not None:

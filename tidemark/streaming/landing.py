@@ -80,6 +80,29 @@ def quarantine_events(
     return _files(hourly_directories(invalid, as_of), "json", quarantine_path, checkpoint, trigger, BRONZE_LEVELS)
 
 
+def land_both(
+    arriving: DataFrame,
+    path: str,
+    checkpoint: str,
+    as_of: datetime | str | Column | None = None,
+    trigger: dict = EVERY_FLUSH,
+) -> StreamingQuery:
+    """Accepted and rejected events by one query that parses each line once: ``outcome=accepted`` and
+    ``outcome=rejected`` under one folder, hourly directories below. ``read_bronze`` of the folder reads the accepted.
+    """
+    validated = with_ingest_counts(validate_events(arriving, as_of))
+    is_accepted = F.size("reject_reasons") == 0
+    # a line leaves out columns that are null, so accepted ones have no reasons
+    both = validated.withColumns(
+        {
+            "outcome": F.when(is_accepted, F.lit("accepted")).otherwise(F.lit("rejected")),
+            "revenue": F.when(is_accepted, F.coalesce("revenue", F.lit(0.0))).otherwise(F.col("revenue")),
+            "reject_reasons": F.when(~is_accepted, F.col("reject_reasons")),
+        }
+    )
+    return _files(hourly_directories(both, as_of), "json", path, checkpoint, trigger, ("outcome", *BRONZE_LEVELS))
+
+
 def clean_stream(
     bronze: DataFrame,
     watermark: str = "1 hour",
@@ -88,8 +111,8 @@ def clean_stream(
 ) -> DataFrame:
     """Silver events from a bronze stream, the first copy seen of each id within the watermark.
 
-    State is bounded by the watermark, so events later than that are left to the batch job,
-    which deduplicates over everything. A first deduplication keyed by id and input task
+    State is bounded by the watermark, so events later than that are left out; ``merging.stream_batches`` keeps
+    them. A first deduplication keyed by id and input task
     spreads an id that makes up much of the stream over ``hot_id_salts`` tasks; the second one
     then sees at most one row per salt. It doubles the state, so pass 0 to leave it out where
     no id repeats that much.
