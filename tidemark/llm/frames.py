@@ -14,9 +14,11 @@ SLICE_BYTES = 2 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a folder of our own only where none is set, as in tests."""
+    """The cluster's spark.checkpoint.dir; where none is set, a folder of our own if driver and tasks are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not folder:
+        if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
