@@ -100,6 +100,11 @@ def clean_events(
     return to_silver(earliest_per_id(passed, "event_id", "event_timestamp"))
 
 
+def merge_events(silver: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Both tables' rows with one row per id, the earliest, whichever table it is in."""
+    return earliest_per_id(silver.unionByName(fresh), "event_id", "event_timestamp")
+
+
 def passing_events(tagged: DataFrame) -> DataFrame:
     """Rows that pass every row rule, with the parsed timestamp and the known metadata."""
     return (

@@ -9,7 +9,7 @@ User-days collapse to (date, gap to the next active date) before any of that, a
 most dates x 30 rows, and only this calendar-sized table reaches a single task.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import safe_ratio
@@ -17,32 +17,37 @@ from tidemark.operators.user_days import user_days
 from tidemark.schema import GOLD, MONTH_DAYS, WEEK_DAYS
 
 
-def activity_gaps(days: DataFrame, longest: int = MONTH_DAYS) -> DataFrame:
+def activity_gaps(days: DataFrame, longest: int = MONTH_DAYS, more: dict[str, Column] | None = None) -> DataFrame:
     """Users, first-timers and events per date and gap (in days, capped at ``longest``).
 
-    ``days`` is a user-day rollup with an ``events`` measure.
+    ``days`` is a user-day rollup with an ``events`` measure; ``more`` are further aggregates of its columns.
     """
+    more = more or {}
     in_order = Window.partitionBy("user_id").orderBy("event_date")
     known = F.col("user_id").isNotNull()
     to_next = F.datediff(F.lead("event_date").over(in_order), "event_date")
     return (
-        days.select("user_id", "event_date", "events")
-        .withColumn("gap", F.least(F.coalesce(to_next, F.lit(longest)), F.lit(longest)))
+        days.withColumn("gap", F.least(F.coalesce(to_next, F.lit(longest)), F.lit(longest)))
         .withColumn("is_first", F.lag("event_date").over(in_order).isNull() & known)
         .groupBy("event_date", "gap")
         .agg(
             F.count("user_id").alias("users"),
             F.count_if("is_first").alias("first_timers"),
             F.sum("events").alias("events"),
+            *(value.alias(name) for name, value in more.items()),
         )
     )
 
 
-def active_users(days: DataFrame) -> DataFrame:
-    """Everything in the daily table that follows from user-days (all but the sessions)."""
+def active_users(days: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """Everything in the daily table that follows from user-days (all but the sessions).
+
+    ``more`` are further aggregates of user-days that add up over parts of a date; NULL counts as 0.
+    """
     zero, users = F.lit(0).cast("bigint"), F.col("users")
+    names = list(more or ())
 
-    def change(date, dau=zero, new=zero, events=zero, week=zero, month=zero):
+    def change(date, dau=zero, new=zero, events=zero, week=zero, month=zero, own=False):
         return F.struct(
             date.alias("event_date"),
             dau.alias("daily_active_users"),
@@ -50,19 +55,20 @@ def active_users(days: DataFrame) -> DataFrame:
             events.alias("total_events"),
             week.alias("week_change"),
             month.alias("month_change"),
+            *(F.when(F.lit(own), F.col(name)).alias(name) for name in names),
         )
 
     def leaves_after(k: int):
         return F.date_add("event_date", F.least("gap", F.lit(k)))
 
     changes = F.array(
-        change(F.col("event_date"), users, F.col("first_timers"), F.col("events"), users, users),
+        change(F.col("event_date"), users, F.col("first_timers"), F.col("events"), users, users, own=True),
         change(leaves_after(WEEK_DAYS), week=-users),
         change(leaves_after(MONTH_DAYS), month=-users),
     )
     up_to_date = Window.orderBy("event_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_date = (
-        activity_gaps(days)
+        activity_gaps(days, more=more)
         .repartition(1)  # calendar-sized: dates x 30 rows at most
         .select(F.inline(changes))
         .groupBy("event_date")
@@ -72,6 +78,7 @@ def active_users(days: DataFrame) -> DataFrame:
             F.sum("total_events").alias("total_events"),
             F.sum("week_change").alias("week_change"),
             F.sum("month_change").alias("month_change"),
+            *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names),
         )
     )
     return (
@@ -87,6 +94,7 @@ def active_users(days: DataFrame) -> DataFrame:
             "weekly_active_users",
             "monthly_active_users",
             safe_ratio(F.col("daily_active_users"), F.col("monthly_active_users")).alias("dau_mau_stickiness"),
+            *names,
         )
     )
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.anomaly import anomaly_report
-from tidemark.operators.clean import clean_events, earliest_per_id, parse_date, passing_events, rules_for, tag_events, to_silver
+from tidemark.operators.clean import clean_events, earliest_per_id, merge_events, parse_date, passing_events, rules_for, tag_events, to_silver
 from tidemark.operators.daily import active_users, assemble_daily, session_days
 from tidemark.operators.features import feature_days, usage_from_feature_days
 from tidemark.operators.funnel import first_steps_from_user_days, funnel_from_first_steps
@@ -47,7 +47,7 @@ class QualityCheckFailed(ValueError):
     """Raised by a blocking quality run; carries the failed check rows."""
 
     def __init__(self, failed: list[dict]):
-        super().__init__(f"Data quality checks failed: {failed}")
+        super().__init__(f"silver does not pass its checks: {failed}")
         self.failed = failed
 
 
@@ -284,8 +284,7 @@ def merge_into_silver(spark: SparkSession, rows: DataFrame, silver_path: str) ->
                 return dates
             scope = F.col("event_date").isin(sorted(dates))
             present = fresh.limit(0) if silver is None else silver.filter(scope)
-            both = earliest_per_id(present.select(*fresh.columns).unionByName(fresh), "event_id", "event_timestamp")
-            after = _staged(spark, f"{staging}/after", both)
+            after = _staged(spark, f"{staging}/after", merge_events(present.select(*fresh.columns), fresh))
             if silver is None:
                 write_by_date(after, silver_path, SILVER_ORDER, only_touched_dates=True)
                 index.build(after)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import safe_ratio
 from tidemark.operators.clean import parse_date
-from tidemark.schema import RETENTION_DAYS
+from tidemark.schema import GOLD, RETENTION_DAYS
 
 
 def _by_date(table: DataFrame, *columns: str | Column) -> DataFrame:
@@ -217,12 +217,15 @@ def feature_trend(features: DataFrame, feature: str) -> DataFrame:
 
 
 def feature_adoption(features: DataFrame, daily: DataFrame) -> DataFrame:
-    rate = safe_ratio(F.col("unique_users"), F.col("daily_active_users"))
-    return (
-        features.select("event_date", "feature", "unique_users")
-        .join(daily.select("event_date", "daily_active_users"), "event_date")
-        .withColumn("feature_adoption_rate", rate)
-        .orderBy(F.desc("event_date"), F.desc("feature_adoption_rate"), "feature")
+    users = daily.select("event_date", "daily_active_users")
+    return adoption_rates(features.select("event_date", "feature", "unique_users").join(users, "event_date"))
+
+
+def adoption_rates(feature_users: DataFrame) -> DataFrame:
+    """The same where a date's active users stand beside its features."""
+    rate = safe_ratio(F.col("unique_users"), F.col("daily_active_users")).alias("feature_adoption_rate")
+    return feature_users.select("event_date", "feature", "unique_users", "daily_active_users", rate).orderBy(
+        F.desc("event_date"), F.desc("feature_adoption_rate"), "feature"
     )
 
 
@@ -234,6 +237,19 @@ def business_summary(daily: DataFrame, revenue: DataFrame) -> DataFrame:
     return users.join(revenue, "event_date", "left").orderBy(F.desc("event_date"))
 
 
+def business_days(users_and_revenue: DataFrame) -> DataFrame:
+    """The same from a table that has both sides of a date."""
+    users = ("daily_active_users", "monthly_active_users", "dau_mau_stickiness")
+    revenue = GOLD["revenue_metrics"].fieldNames()[1:]
+    return users_and_revenue.select("event_date", *users, *revenue).orderBy(F.desc("event_date"))
+
+
+def latest_business_day(users_and_revenue: DataFrame) -> DataFrame:
+    """``kpi_snapshot`` from a table that has both sides of a date."""
+    columns = ("daily_active_users", "monthly_active_users", "total_events", "total_revenue")
+    return users_and_revenue.agg(F.max("event_date").alias("event_date"), *[F.max_by(c, "event_date").alias(c) for c in columns])
+
+
 def arpu_and_arppu(revenue: DataFrame) -> DataFrame:
     per_payer = F.try_divide(F.col("total_revenue"), F.col("paying_users").cast("double")).alias("arppu")
     return revenue.select("event_date", "total_revenue", "paying_users", per_payer, "arpu").orderBy(

@@ -5,15 +5,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import event_time
 from tidemark.operators import quality, validate
 from tidemark.operators.anomaly import anomaly_report_from_user_days
 from tidemark.operators.churn import lapsed_users
-from tidemark.operators.clean import clean_events, quality_report, rejected_events
+from tidemark.operators.clean import clean_events, in_date_range, merge_events, quality_report, rejected_events
 from tidemark.operators.daily import active_users, daily_user_metrics
-from tidemark.operators.features import feature_usage
+from tidemark.operators.features import feature_adoption_days, feature_usage
 from tidemark.operators.funnel import funnel_metrics
 from tidemark.operators.retention import retention_cohorts
-from tidemark.operators.revenue import revenue_metrics
+from tidemark.operators.revenue import revenue_metrics, users_and_revenue
 from tidemark.operators.user_days import user_days
 from tidemark.plans import kpis
 from tidemark.sources import testtables
@@ -62,6 +63,11 @@ def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_metrics(_silver(spark, sf_dir))
 
 
+def _daily_and_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables from one pass over the events."""
+    return users_and_revenue(user_days(_silver(spark, sf_dir)))
+
+
 def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly_report_from_user_days(user_days(_silver(spark, sf_dir)))
 
@@ -78,10 +84,6 @@ def _on(table: Query, answer: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: answer(table(spark, sf_dir), *args)
 
 
-def _on_both(left: Query, right: Query, answer: Callable[..., DataFrame]) -> Query:
-    return lambda spark, sf_dir: answer(left(spark, sf_dir), right(spark, sf_dir))
-
-
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testtables.bronze_events(spark, sf_dir)
 
@@ -129,6 +131,16 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _printable(clean_events(bronze, as_of=testtables.AS_OF, start_date=start, end_date=end))
 
 
+def _backfill_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table that was cleaned without the days of the range, and the range merged into it: a full rebuild."""
+    start, end = BACKFILL
+    bronze = _bronze(spark, sf_dir)
+    in_range = in_date_range(event_time(F.col("event_timestamp")), start, end)
+    old = clean_events(bronze.filter(~F.coalesce(in_range, F.lit(False))), as_of=testtables.AS_OF)
+    fresh = clean_events(bronze, as_of=testtables.AS_OF, start_date=start, end_date=end)
+    return _printable(merge_events(old, fresh))
+
+
 def _backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = BACKFILL
     bronze = testtables.bronze_events(spark, sf_dir, with_country=False)
@@ -159,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "silver_rejected_events": _rejects,
     "silver_quality_report": _report,
     "silver_backfill_range": _backfill,
+    "silver_backfill_merged": _backfill_merged,
     "silver_backfill_report": _backfill_report,
     # rollup and metric tables
     "silver_user_days": lambda spark, sf_dir: user_days(_silver(spark, sf_dir)).select(
@@ -206,14 +219,14 @@ QUERIES: dict[str, Query] = {
     "q_subscription_conversion_trend": _on(_funnel, kpis.conversion_trend),
     "q_top_features": _on(_features, kpis.top_features),
     "q_feature_trend": _on(_features, kpis.feature_trend, FEATURE),
-    "q_feature_adoption": _on_both(_features, _daily, kpis.feature_adoption),
-    "q_business_summary": _on_both(_daily, _revenue, kpis.business_summary),
+    "q_feature_adoption": lambda spark, sf_dir: kpis.adoption_rates(feature_adoption_days(_silver(spark, sf_dir))),
+    "q_business_summary": _on(_daily_and_revenue, kpis.business_days),
     "q_arpu_arppu": _on(_revenue, kpis.arpu_and_arppu),
     "q_latest_revenue": _on(_revenue, kpis.latest_revenue),
     "q_revenue_trend": _on(_revenue, kpis.revenue_trend),
     "q_net_subscriptions": _on(_revenue, kpis.net_subscriptions),
     "q_subscriptions_long": _on(_revenue, kpis.subscriptions_long),
-    "q_kpi_snapshot": _on_both(_daily, _revenue, kpis.kpi_snapshot),
+    "q_kpi_snapshot": _on(_daily_and_revenue, kpis.latest_business_day),
     "q_flagged_anomalies": _on(_anomalies, kpis.flagged_anomalies),
     "q_metric_names": _on(_anomalies, kpis.metric_names),
     "q_anomaly_series": _on(_anomalies, kpis.anomaly_series, METRIC),
