@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from samples import AS_OF, at, event, rows
 from tidemark.operators import daily, features, funnel, retention, revenue
 from tidemark.operators.clean import clean_events, quality_report
+from tidemark.operators.validate import validate_events
 from tidemark.plans import jobs
 from tidemark.schema import BRONZE_WITH_CORRUPT, EVENT_COLUMNS, GOLD
 from tidemark.sources import lake
@@ -364,3 +365,13 @@ def test_numbers_of_other_json_types(spark, tmp_path):
     assert (report["dropped_bad_timestamp"], report["clean_count"]) == (1, 3)
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("event_id").collect()
     assert [(r.event_id, r.revenue, r.duration_seconds) for r in got] == [("e0", 9.99, 18), ("e2", 0.0, 18), ("e4", 2.0, None)]
+
+
+@pytest.mark.parametrize("text", ["NaN", "Infinity", "-Infinity", "9.99d", "1e400", "0x1p3", " 1"])
+def test_texts_that_are_no_finite_numbers_never_become_revenue(spark, tmp_path, text):
+    write_lines(tmp_path, event(revenue=text), event(event_id="good", revenue="2.5e0"))
+    bronze = lake.read_bronze(spark, str(tmp_path))
+    assert [(r.event_id, r.revenue) for r in clean_events(bronze, AS_OF).collect()] == [("good", 2.5)]
+    report = {r.line: r.row_count for r in quality_report(bronze, AS_OF).collect()}
+    assert (report["dropped_mistyped_field"], report["dropped_negative_revenue"]) == (1, 0)
+    assert [r.reject_reasons for r in validate_events(bronze, AS_OF).where("event_id = 'e1'").collect()] == [["malformed_record"]]
