@@ -8,7 +8,8 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from tidemark.llm.bpe import encode, encode_digest, vocabulary
-from tidemark.llm.token_counts import token_counts
+from tidemark.llm import token_counts as counting
+from tidemark.llm.token_counts import most_frequent, token_counts
 from tidemark.llm.token_files import pack, token_file_digest, unpack
 from tokenizers import Tokenizer
 
@@ -45,6 +46,25 @@ def test_token_counts_equal_the_library(docs):
     assert got == expected(rows, lambda t: (len(t.encode()), len(model.encode(t))))
 
 
+@pytest.mark.parametrize("common", [0, 3])
+def test_units_that_are_not_common_are_joined(docs, monkeypatch, common):
+    monkeypatch.setattr(counting, "COMMON_UNITS", common)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    got, rows = by_text(docs, token_counts(docs, PIECES), "n_tokens")
+    assert got == expected(rows, lambda t: (len(model.encode(t)),))
+
+
+def test_most_frequent_units_fit_and_leave_no_more_frequent_one_out(spark):
+    rows = [(f"u{k}", 1 << (k % 12)) for k in range(3000)]
+    units = spark.createDataFrame(rows, "unit string, n long")
+    for most in (0, 1, 100, 700, 2999, 3000, 9000):
+        got = {r.unit: r.n for r in most_frequent(units, most).collect()}
+        left = [n for u, n in rows if u not in got]
+        assert len(got) <= most and (not got or not left or max(left) <= min(got.values()))
+        assert len(got) >= min(most, len(rows)) - 20
+    assert most_frequent(units.where("n < 0"), 5).count() == 0
+
+
 def test_bpe_equals_the_library_and_decodes(docs):
     tool = Tokenizer.from_file(WORDS)
 

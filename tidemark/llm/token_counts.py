@@ -17,6 +17,8 @@ from tidemark.llm.runs import Pieces
 
 COMMON_UNITS = 1 << 16
 COMMON_UNIT_BYTES = 64
+LEVELS = 16  # levels of frequency for each doubling
+SLOTS = 1024  # parts into which the units of one level are dealt
 
 
 @functools.cache
@@ -68,17 +70,41 @@ def unit_counts(docs: DataFrame, model_path: str, text: str = "text") -> DataFra
     return totals.mapInArrow(count, "unit string, n long, pieces long")
 
 
+def most_frequent(units: DataFrame, most: int) -> DataFrame:
+    """At most `most` rows of units, the most frequent ones.
+
+    Units are counted by level of frequency; whole levels are taken from the top, and of the first
+    that no longer fits as many of SLOTS parts as fit. What reaches the driver is a count for each
+    level (at most 64 * LEVELS) and for each part, at any input size.
+    """
+    level = F.floor(F.log2("n") * LEVELS)
+    slot = F.pmod(F.xxhash64("unit"), F.lit(SLOTS))
+    left, cut = most, None
+    for key, n in sorted(units.groupBy(level).count().collect(), reverse=True):
+        if n > left:
+            cut = key
+            break
+        left -= n
+    if cut is None:
+        return units
+    dealt = dict(map(tuple, units.where(level == cut).groupBy(slot).count().collect()))
+    parts = 0
+    while dealt.get(parts, 0) <= left:
+        left, parts = left - dealt.get(parts, 0), parts + 1
+    return units.where((level > cut) | ((level == cut) & (slot < parts)))
+
+
 def token_counts(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens for every row of docs, as the sentencepiece model encodes the whole text.
 
-    The COMMON_UNITS most frequent pre-tokens of at most COMMON_UNIT_BYTES bytes (a table of at most
-    a few MB at any input size) go to every task; all others are joined by a shuffle. Null texts
+    Of pre-tokens of at most COMMON_UNIT_BYTES bytes, the COMMON_UNITS most frequent (a table of at
+    most a few MB at any input size) go to every task; all others are joined by a shuffle. Null texts
     count as empty: 0 bytes, 0 tokens. Repeated rows and ids stay separate rows; an empty table
     gives an empty result; further columns of docs are not read.
     """
     units = kept(unit_counts(docs, model_path, text), "units")
     short = units.where(F.octet_length("unit") <= COMMON_UNIT_BYTES)
-    common = short.orderBy(F.desc("n"), "unit").limit(COMMON_UNITS).select("unit", "pieces").collect()
+    common = most_frequent(short, COMMON_UNITS).select("unit", "pieces").collect()
     table = docs.sparkSession.sparkContext.broadcast({r.unit: r.pieces for r in common})
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
