@@ -7,7 +7,7 @@ from hashlib import sha256
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, repeats
 from tidemark.llm.decontaminate import contamination, without_contaminated
 from tidemark.llm.near_dedup import near_duplicates, shingle_sets, without_near_duplicates
 from tidemark.llm.pii import pii_digest, redacted
@@ -29,9 +29,7 @@ def test_blind_trie_orders_strings():
     assert blind_trie_ranks([b"same"] * 3) == [0, 0, 0]
 
 
-def test_repeats_equal_brute_force(documents):
-    shared, line = prose(60), "x" * 99
-    rows = [(5, shared), (1, prose(50) + shared + prose(20)), (2, shared[:99]), (3, shared[7:150] + "!"), (4, None), (6, ""), (7, "z" * 400), (8, line), (9, line + "y"), (10, prose(30) + shared)]
+def plain_repeats(rows):
     seen, want = set(), {}
     for i, t in sorted(rows):
         data = (t or "").encode()
@@ -43,8 +41,64 @@ def test_repeats_equal_brute_force(documents):
             seen.add(window)
         runs = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
         want[i] = (len(data), sum(gone), runs, sha256(bytes(b for b, g in zip(data, gone) if not g)).hexdigest())
+    return want
+
+
+@pytest.mark.parametrize("phrase", [60, 150])
+def test_a_phrase_in_many_different_texts(documents, monkeypatch, phrase):
+    """More different surroundings than one task takes, some of them equal for a part only."""
+    line = "".join(random.choice("abcdefgh ") for _ in range(phrase))
+    ends = [prose(30) for _ in range(40)]
+    rows = [(i, f"{i:05d} " + random.choice(ends)[: random.randrange(60)] + line + random.choice(ends)[: random.randrange(60)] + f" {i * 7:06d}") for i in range(repeats.MANY + 400)]
+    dealt, plain = [], repeats._dealt_windows
+    monkeypatch.setattr(repeats, "_dealt_windows", lambda frame: dealt.append(frame) or plain(frame))
+    out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_bytes(documents(rows)).collect()}
+    assert out == plain_repeats(rows) and dealt
+
+
+def test_dealt_windows_equal_sorted_ones(spark):
+    core = "".join(random.choice("abcdefgh") for _ in range(110)).encode()
+    rows = []
+    for content in range(300):
+        left, right = random.randrange(30), random.randrange(30)
+        stretch = bytes(random.choice(b"xy") for _ in range(left % 4)) + core[left // 4 :] + bytes(random.choice(b"xy") for _ in range(right))
+        rows.append((1, content, random.randrange(50), 0, 500 * content, 2, left % 4, stretch))
+    frame = spark.createDataFrame(rows, "anchor long, content long, doc long, twin long, at long, stretches long, before long, stretch binary")
+    want = pa.Table.from_batches(repeats._sorted_windows(iter(frame.toArrow().to_batches()))).to_pylist()
+    got = {r.content: r.again for r in repeats._dealt_windows(frame).collect()}
+    assert got == {r["content"]: sorted(r["again"]) for r in want if r["again"]} and got
+
+
+@pytest.mark.parametrize("at_once", [1, 2, 5, 10000])
+def test_stretches_are_judged_in_frames(monkeypatch, at_once):
+    """Frames of any size give the rows that one frame gives; of anchors with several stretches, firsts are asked for."""
+    random_ = random.Random(at_once)
+    rows = sorted((random_.choice([1, 1, 1, 2, 3, k]), random_.choice([1, 1, 1, 2, 7]), random_.randrange(9), 0, k, k % 7, 1) for k in range(200))
+    rows = list({r[:2] + r[5:6]: r for r in rows}.values())
+    rows += [(500, 1, k, 0, k, k, 1) for k in range(12)] + [(501, 1, k, 0, k, k, 1) for k in range(12)] + [(501, 2, 3, 0, 9, 3, 1), (502, 4, 4, 0, 4, 4, 1)]
+    rows.sort(key=lambda r: r[:5])
+    columns = ("anchor", "content", "doc", "twin", "at", "bucket", "n")
+    batches = [pa.RecordBatch.from_pylist([dict(zip(columns, r)) for r in rows[k : k + 3]]) for k in range(0, len(rows), 3)]
+    monkeypatch.setattr(repeats, "JUDGED_AT_ONCE", at_once)
+    got = [r for b in repeats._judge(iter(batches)) for r in b.to_pylist()]
+    firsts = {}
+    for r in rows:
+        firsts.setdefault(r[:2], r[2:5])
+    contents = {a: sum(1 for x, _ in firsts if x == a) for a, _ in firsts}
+    copies = {k: sum(1 for r in rows if r[:2] == k) for k in firsts}
+    want = [(*r[:2], r[5], *firsts[r[:2]]) for r in rows if contents[r[0]] > 1 or copies[r[:2]] > 1]
+    assert sorted((r["anchor"], r["content"], r["bucket"], r["doc"], r["twin"], r["at"]) for r in got) == sorted(want)
+    asked = [(r["anchor"], r["content"]) for r in got if r["is_first"] and r["stretches"] > 1]
+    assert sorted(asked) == sorted(k for k in firsts if contents[k[0]] > 1)
+    for a in contents:
+        assert len({r["stretches"] for r in got if r["anchor"] == a and r["is_first"]}) <= 1
+
+
+def test_repeats_equal_brute_force(documents):
+    shared, line = prose(60), "x" * 99
+    rows = [(5, shared), (1, prose(50) + shared + prose(20)), (2, shared[:99]), (3, shared[7:150] + "!"), (4, None), (6, ""), (7, "z" * 400), (8, line), (9, line + "y"), (10, prose(30) + shared)]
     out = repeated_bytes(documents(rows))
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()} == want
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()} == plain_repeats(rows)
     assert repeated_bytes(documents([])).count() == 0
 
 

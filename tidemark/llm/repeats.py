@@ -6,6 +6,8 @@ An anchor's stretch holds all windows that have it as theirs. Stretches with an
 stretch shares are done; so are stretches that are equal as a whole, of which only the first counts.
 What remains are different stretches of one anchor. Their windows are suffixes of the stretch from
 each start; they are sorted, and of equal ones the first in the corpus is the one that stays.
+An anchor with MANY different stretches would be too much for one task: its windows are dealt by a
+hash of their bytes instead.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ POSITION_BITS = 22
 STEP = 1 << 21
 AT_ONCE = 2 << 20
 STRETCHES_AT_ONCE = 4096
+MANY = 4096  # different stretches of one anchor; windows of anchors with as many are dealt by their content
+JUDGED_AT_ONCE = 1 << 16
 NO_ID = -(1 << 63)
 POLY = 0x9E3779B97F4A7C15
 POLY_INVERSE = pow(POLY, -1, 1 << 64)
@@ -205,8 +209,11 @@ def _stretches(docs: np.ndarray, twins: np.ndarray, texts: pa.Array) -> Iterator
         first = upto
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[pd.DataFrame]:
-    """Rows that come sorted by key, in frames that hold all rows of their keys."""
+def _by_key(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[tuple[pd.DataFrame, bool]]:
+    """Rows that come sorted by key, in frames that hold all rows of their keys.
+
+    A key with more than `most` rows gets frames of its own, all but its last marked as going on.
+    """
     waiting: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
@@ -218,39 +225,76 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[
             continue
         table = pa.Table.from_batches(waiting)
         keys = table.column(key).to_numpy()
-        other = np.flatnonzero(keys != keys[-1])
-        if len(other):
-            cut = int(other[-1]) + 1
-            yield table.slice(0, cut).to_pandas()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield table.slice(0, cut).to_pandas(), False
             waiting, rows = table.slice(cut).to_batches(), table.num_rows - cut
+        else:
+            yield table.to_pandas(), True
+            waiting, rows = [], 0
     if waiting:
-        yield pa.Table.from_batches(waiting).to_pandas()
+        yield pa.Table.from_batches(waiting).to_pandas(), False
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is repeated: rows of anchors that occur more than once, with the first place of their content."""
-    for frame in _by_key(batches, "anchor", 1 << 16):
+    """What is repeated: rows of anchors that occur more than once, with the first place of their content.
+
+    `stretches` says how many different stretches the anchor has: one, few or MANY. An anchor whose
+    rows don't fit into one frame has MANY as soon as there are two; until the second is seen, the
+    row of the first is held back.
+    """
+    place = ["doc", "twin", "at"]
+    anchor_before = content_before = first_before = held = None
+    several = False
+    for frame, goes_on in _by_key(batches, "anchor", JUDGED_AT_ONCE):
         anchor, content, n = (frame[c].to_numpy() for c in ("anchor", "content", "n"))
+        continued = anchor_before is not None and anchor[0] == anchor_before
+        if held is not None and not continued:
+            yield _judged(held)
+            held = None
         new_anchor = np.concatenate([[True], np.diff(anchor) != 0])
         new_content = new_anchor | np.concatenate([[True], np.diff(content) != 0])
         a, c = np.cumsum(new_anchor) - 1, np.cumsum(new_content) - 1
-        mixed_anchor = np.bincount(a[new_content])[a] > 1
-        first = np.flatnonzero(new_content)[c]
-        live = mixed_anchor | (np.bincount(c, n)[c] > 1)
-        out = frame[["bucket", "anchor", "content"]].copy()
-        for name in ("doc", "twin", "at"):
-            out[name] = frame[name].to_numpy()[first]
-        out["mixed"] = mixed_anchor
-        out["is_first"] = new_content
-        yield pa.RecordBatch.from_pandas(out[live], schema=JUDGED, preserve_index=False)
+        contents = np.bincount(a[new_content])
+        same = continued and content[0] == content_before
+        several = continued and (several or not same) or contents[0] > 1
+        spread = continued or goes_on
+        stretches = np.where(contents > MANY, MANY, np.minimum(contents, 2))
+        if spread:
+            stretches[0] = MANY if several else 1
+        out = frame[["bucket", "anchor", "content", *place]].copy()
+        out[place] = frame[place].to_numpy()[np.flatnonzero(new_content)[c]]
+        if same:
+            out.loc[c == 0, place] = first_before
+        out["stretches"] = stretches[a]
+        out["is_first"] = new_content & ~(same & (np.arange(len(frame)) == 0))
+        live = (out["stretches"].to_numpy() > 1) | (np.bincount(c, n)[c] > 1)
+        if spread:
+            live |= a == 0
+        if held is not None and several:
+            yield _judged(held.assign(stretches=MANY))
+            held = None
+        if goes_on:
+            anchor_before, content_before, first_before = anchor[-1], content[-1], out[place].to_numpy()[-1]
+            if not several and not continued:
+                held, live[0] = out.iloc[:1], False
+        else:
+            anchor_before = None
+        yield _judged(out[live])
+    if held is not None:
+        yield _judged(held)
+
 
+def _judged(rows: pd.DataFrame) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pandas(rows, schema=JUDGED, preserve_index=False)
 
-JUDGED = pa.schema([(c, pa.int32() if c == "bucket" else pa.int64()) for c in ("bucket", "anchor", "content", "doc", "twin", "at")] + [("mixed", pa.bool_()), ("is_first", pa.bool_())])
+
+JUDGED = pa.schema([(c, pa.int32() if c == "bucket" else pa.int64()) for c in ("bucket", "anchor", "content", "doc", "twin", "at", "stretches")] + [("is_first", pa.bool_())])
 
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each stretch, its windows that also start at an earlier place: offsets from the stretch's start."""
-    for frame in _by_key(batches, "anchor", STRETCHES_AT_ONCE):
+    for frame, _ in _by_key(batches, "anchor", STRETCHES_AT_ONCE):
         count = np.fromiter(map(len, frame["stretch"]), np.int64, len(frame)) - LENGTH + 1
         data = np.frombuffer(b"".join(frame["stretch"]), np.uint8)
         begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
@@ -269,6 +313,25 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(frame["anchor"]), pa.array(frame["content"]), offsets], ["anchor", "content", "again"])
 
 
+def _dealt_windows(stretches: DataFrame) -> DataFrame:
+    """The same for anchors of MANY stretches, whose windows can't meet in one task.
+
+    Windows are dealt by two 64-bit hashes of their bytes; the first place of each is found with a
+    partial minimum before the shuffle, and only windows that occur again are joined with it.
+    """
+    each = stretches.select(
+        "anchor", "content", "doc", "twin", "at", "before", "stretch", F.explode(F.expr(f"sequence(0, octet_length(stretch) - {LENGTH})")).alias("k")
+    )
+    window = F.substring(F.col("stretch"), F.col("k") + 1, F.lit(LENGTH))
+    each = each.select(
+        "anchor", "content", "k", F.xxhash64(window, "anchor").alias("h"), F.xxhash64(F.col("anchor"), window).alias("g"),
+        F.struct("doc", "twin", (F.col("at") - F.col("before") + F.col("k")).alias("start")).alias("place"),
+    )
+    first = each.groupBy("h", "g").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = each.join(first, ["h", "g"]).where("place != first")
+    return again.groupBy("anchor", "content").agg(F.sort_array(F.collect_list("k")).alias("again"))
+
+
 def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) for every row of docs.
 
@@ -276,7 +339,8 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     in the same id at an earlier byte. Null texts count as empty. Rows of null id come before all
     others, as one document; rows that repeat an id are ordered by a hash of their texts, and rows
     that repeat id and text both count once and get the same result. An empty table gives no rows.
-    Two stretches count as equal by a 128-bit hash; different ones are compared byte by byte.
+    Two stretches count as equal by a 128-bit hash, as do windows of an anchor with MANY stretches;
+    all others are compared byte by byte.
     """
     kind = docs.schema[id].dataType.simpleString()
     texts, buckets = _bucketed(docs, id, text)
@@ -297,28 +361,35 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
     rows = texts.mapInArrow(stretches, "anchor long, content long, bucket int, doc long, twin long, at long, n long")
     judged = rows.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "twin", "at").mapInArrow(
-        _judge, "bucket int, anchor long, content long, doc long, twin long, at long, mixed boolean, is_first boolean"
+        _judge, "bucket int, anchor long, content long, doc long, twin long, at long, stretches long, is_first boolean"
     )
     judged = kept(judged, "repeats")
 
     def fetch(key, asked: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
         parts = []
-        wanted = asked[["anchor", "content", "doc", "twin", "at"]]
+        wanted = asked[["anchor", "content", "doc", "twin", "at", "stretches"]]
         frame = frame[frame["doc"].isin(wanted["doc"])].drop_duplicates(["doc", "twin"])
         for data, _, found in _stretches(frame["doc"].to_numpy(), frame["twin"].to_numpy(), pa.array(frame["text"], pa.string())):
-            found = found.merge(wanted, on=["anchor", "content", "doc", "twin", "at"])
+            found = found.merge(wanted, on=[*wanted.columns[:5]])
             bits = [data[a : b + LENGTH].tobytes() for a, b in zip(found["low"], found["high"])]
             parts.append(found.assign(before=found["place"] - found["low"], stretch=bits)[[*wanted.columns, "before", "stretch"]])
         empty = wanted.iloc[:0].assign(before=0, stretch=b"")
         return pd.concat(parts) if parts else empty
 
-    asked = judged.where("mixed and is_first")
+    asked = judged.where("stretches > 1 and is_first")
     place = F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(buckets)).cast("int")
-    asked = asked.withColumn("bucket", place).select("bucket", "anchor", "content", "doc", "twin", "at")
+    asked = asked.withColumn("bucket", place).select("bucket", "anchor", "content", "doc", "twin", "at", "stretches")
     fetched = asked.groupBy("bucket").cogroup(texts.groupBy("bucket")).applyInPandas(
-        fetch, "anchor long, content long, doc long, twin long, at long, before long, stretch binary"
+        fetch, "anchor long, content long, doc long, twin long, at long, stretches long, before long, stretch binary"
     )
-    windows = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_windows, "anchor long, content long, again array<int>")
+    many = F.col("stretches") == MANY
+    any_many = not judged.where(many).isEmpty()
+    if any_many:
+        fetched = kept(fetched, "stretches")
+    few = fetched.where(~many).repartition("anchor").sortWithinPartitions("anchor")
+    windows = few.mapInArrow(_sorted_windows, "anchor long, content long, again array<int>")
+    if any_many:
+        windows = windows.unionByName(_dealt_windows(fetched.where(many)))
     verdicts = judged.join(windows, ["anchor", "content"], "left").select("bucket", "anchor", "content", "doc", "twin", "at", "again")
 
     def remove(key, known: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
