@@ -44,29 +44,43 @@ def plain_repeats(rows):
     return want
 
 
-@pytest.mark.parametrize("phrase", [60, 150])
-def test_a_phrase_in_many_different_texts(documents, monkeypatch, phrase):
+@pytest.mark.parametrize("phrase", [90, 150])
+def test_a_phrase_in_many_different_texts(documents, phrase):
     """More different surroundings than one task takes, some of them equal for a part only."""
     line = "".join(random.choice("abcdefgh ") for _ in range(phrase))
     ends = [prose(30) for _ in range(40)]
-    rows = [(i, f"{i:05d} " + random.choice(ends)[: random.randrange(60)] + line + random.choice(ends)[: random.randrange(60)] + f" {i * 7:06d}") for i in range(repeats.MANY + 400)]
-    dealt, plain = [], repeats._dealt_windows
-    monkeypatch.setattr(repeats, "_dealt_windows", lambda frame: dealt.append(frame) or plain(frame))
+    rows = [(i, f"{i:05d} " + random.choice(ends)[: random.randrange(60)] + line + random.choice(ends)[: random.randrange(60)] + f" {i * 7:06d}") for i in range(2 * repeats.MANY)]
     out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_bytes(documents(rows)).collect()}
-    assert out == plain_repeats(rows) and dealt
+    assert out == plain_repeats(rows)
 
 
-def test_dealt_windows_equal_sorted_ones(spark):
+@pytest.mark.parametrize("at_once", [8, 64, 4096])
+def test_windows_by_content_equal_windows_by_anchor(monkeypatch, at_once):
+    """Stretches of one anchor, dealt by content or kept whole, in slices and frames of any size."""
     core = "".join(random.choice("abcdefgh") for _ in range(110)).encode()
-    rows = []
+    rows, first = [], {}
     for content in range(300):
-        left, right = random.randrange(30), random.randrange(30)
+        left, right = random.randrange(8), random.randrange(30)
         stretch = bytes(random.choice(b"xy") for _ in range(left % 4)) + core[left // 4 :] + bytes(random.choice(b"xy") for _ in range(right))
-        rows.append((1, content, random.randrange(50), 0, 500 * content, 2, left % 4, stretch))
-    frame = spark.createDataFrame(rows, "anchor long, content long, doc long, twin long, at long, stretches long, before long, stretch binary")
-    want = pa.Table.from_batches(repeats._sorted_windows(iter(frame.toArrow().to_batches()))).to_pylist()
-    got = {r.content: r.again for r in repeats._dealt_windows(frame).collect()}
-    assert got == {r["content"]: sorted(r["again"]) for r in want if r["again"]} and got
+        rows.append((1, content, random.randrange(50), 0, 500 * content + left % 4, left % 4, stretch))
+    for _, content, doc, _, at, before, stretch in rows:
+        for k in range(len(stretch) - 99):
+            window, place = stretch[k : k + 100], (doc, at - before + k)
+            first[window] = min(first.get(window, place), place)
+    want = {}
+    for _, content, doc, _, at, before, stretch in rows:
+        again = [k for k in range(len(stretch) - 99) if first[stretch[k : k + 100]] != (doc, at - before + k)]
+        want |= {content: again} if again else {}
+    columns = ("anchor", "content", "doc", "twin", "at", "before", "stretch")
+    for stretches in (2, repeats.MANY):
+        monkeypatch.setattr(repeats, "STRETCHES_AT_ONCE", at_once if stretches > 2 else 4096)
+        batch = pa.RecordBatch.from_pylist([dict(zip(columns, r), stretches=stretches) for r in rows])
+        dealt = pa.Table.from_batches(repeats._dealt(iter([batch]))).sort_by([(c, "ascending") for c in ("key", "doc", "twin", "start")])
+        got = {}
+        for out in repeats._sorted_windows(iter(dealt.to_batches(max_chunksize=50))):
+            for r in out.to_pylist():
+                got.setdefault(r["content"], []).extend(r["again"])
+        assert {c: sorted(v) for c, v in got.items()} == want
 
 
 @pytest.mark.parametrize("at_once", [1, 2, 5, 10000])

@@ -7,7 +7,7 @@ stretch shares are done; so are stretches that are equal as a whole, of which on
 What remains are different stretches of one anchor. Their windows are suffixes of the stretch from
 each start; they are sorted, and of equal ones the first in the corpus is the one that stays.
 An anchor with MANY different stretches would be too much for one task: its windows are dealt by a
-hash of their bytes instead.
+hash of their bytes, equal ones of a slice as one row, and sorted there.
 """
 
 from __future__ import annotations
@@ -292,44 +292,112 @@ def _judged(rows: pd.DataFrame) -> pa.RecordBatch:
 JUDGED = pa.schema([(c, pa.int32() if c == "bucket" else pa.int64()) for c in ("bucket", "anchor", "content", "doc", "twin", "at", "stretches")] + [("is_first", pa.bool_())])
 
 
+def _windows(stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the stretches, the stretch of each and its offset there."""
+    count = np.fromiter(map(len, stretches), np.int64, len(stretches)) - LENGTH + 1
+    data = np.frombuffer(b"".join(stretches), np.uint8)
+    begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+    owner = np.repeat(np.arange(len(stretches)), count)
+    within = np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
+    return np.lib.stride_tricks.sliding_window_view(data, LENGTH)[begin[owner] + within], owner, within
+
+
+def _window_keys(windows: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(windows), np.uint64)
+    for word in np.ascontiguousarray(windows[:, : LENGTH // 4 * 4]).view("<u4").T:
+        key = mixed(key * np.uint64(POLY) + word, 13)
+    return key.view(np.int64)
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Strings to sort, with a key under which equal windows meet, and the stretches and offsets they stand for.
+
+    A stretch of an anchor with few stretches stays whole, under its anchor. For anchors with MANY,
+    which are too much for one task, every window goes under a key of its own bytes; those that are
+    equal within a slice of rows become one row, the first place in front.
+    """
+    for batch in batches:
+        column = lambda name: batch.column(batch.schema.get_field_index(name))
+        many = pc.equal(column("stretches"), MANY)
+        place = pc.subtract(column("at"), column("before"))
+        every = pa.RecordBatch.from_arrays([column("anchor"), column("content"), column("doc"), column("twin"), place, column("stretch")], ["anchor", "content", "doc", "twin", "start", "string"])
+        few = every.filter(pc.invert(many))
+        if few.num_rows:
+            one = pa.array(np.arange(few.num_rows + 1), pa.int32())
+            lists = [pa.ListArray.from_arrays(one, few.column(1)), pa.ListArray.from_arrays(one, pa.array(np.zeros(few.num_rows, np.int32)))]
+            yield pa.RecordBatch.from_arrays([few.column(0), few.column(0), *few.columns[2:], *lists], DEALT)
+        several = every.filter(many)
+        for first in range(0, several.num_rows, STRETCHES_AT_ONCE // 4):
+            part = several.slice(first, STRETCHES_AT_ONCE // 4)
+            anchor, content, doc, twin, start = (part.column(k).to_numpy() for k in range(5))
+            windows, owner, within = _windows(part.column(5).to_pylist())
+            rank = multikey_sort(windows)
+            order = np.lexsort((start[owner] + within, twin[owner], doc[owner], rank))
+            cut = np.flatnonzero(np.concatenate([[True], np.diff(rank[order]) != 0]))
+            lead, whose = order[cut], owner[order[cut]]
+            lists = pa.array(np.append(cut, len(order)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(_window_keys(windows[lead])), pa.array(anchor[whose]), pa.array(doc[whose]), pa.array(twin[whose]), pa.array(start[whose] + within[lead]),
+                    pa.array([w.tobytes() for w in windows[lead]], pa.binary()),
+                    pa.ListArray.from_arrays(lists, pa.array(content[owner[order]])),
+                    pa.ListArray.from_arrays(lists, pa.array(within[order], pa.int32())),
+                ],
+                DEALT,
+            )
+
+
+DEALT = ["key", "anchor", "doc", "twin", "start", "string", "contents", "ks"]
+
+
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each stretch, its windows that also start at an earlier place: offsets from the stretch's start."""
-    for frame, _ in _by_key(batches, "anchor", STRETCHES_AT_ONCE):
-        count = np.fromiter(map(len, frame["stretch"]), np.int64, len(frame)) - LENGTH + 1
-        data = np.frombuffer(b"".join(frame["stretch"]), np.uint8)
-        begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
-        owner = np.repeat(np.arange(len(frame)), count)
-        within = np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
-        rank = multikey_sort(np.lib.stride_tricks.sliding_window_view(data, LENGTH)[begin[owner] + within])
-        start = frame["at"].to_numpy()[owner] - frame["before"].to_numpy()[owner] + within
+    """For stretches, their windows that also start at an earlier place: offsets from the stretch's start.
+
+    Rows come in order of key and place, so of a key that goes on from frame to frame only the
+    different windows must be remembered: one, but for clashes of keys.
+    """
+    seen: set[bytes] = set()
+    key_before = None
+    for frame, goes_on in _by_key(batches, "key", STRETCHES_AT_ONCE):
+        windows, owner, within = _windows(frame["string"].tolist())
+        rank = multikey_sort(windows)
+        start = frame["start"].to_numpy()[owner] + within
         tied = np.flatnonzero(np.bincount(rank)[rank] > 1)
         whose = owner[tied]
         order = tied[np.lexsort((start[tied], frame["twin"].to_numpy()[whose], frame["doc"].to_numpy()[whose], rank[tied]))]
         again = np.zeros(len(owner), bool)
         again[order[1:]] = rank[order[1:]] == rank[order[:-1]]
-        hit = np.flatnonzero(again)
-        ends = np.searchsorted(owner[hit], np.arange(len(frame) + 1))
-        offsets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(within[hit], pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.array(frame["anchor"]), pa.array(frame["content"]), offsets], ["anchor", "content", "again"])
-
-
-def _dealt_windows(stretches: DataFrame) -> DataFrame:
-    """The same for anchors of MANY stretches, whose windows can't meet in one task.
-
-    Windows are dealt by two 64-bit hashes of their bytes; the first place of each is found with a
-    partial minimum before the shuffle, and only windows that occur again are joined with it.
-    """
-    each = stretches.select(
-        "anchor", "content", "doc", "twin", "at", "before", "stretch", F.explode(F.expr(f"sequence(0, octet_length(stretch) - {LENGTH})")).alias("k")
-    )
-    window = F.substring(F.col("stretch"), F.col("k") + 1, F.lit(LENGTH))
-    each = each.select(
-        "anchor", "content", "k", F.xxhash64(window, "anchor").alias("h"), F.xxhash64(F.col("anchor"), window).alias("g"),
-        F.struct("doc", "twin", (F.col("at") - F.col("before") + F.col("k")).alias("start")).alias("place"),
+        keys = frame["key"].to_numpy()
+        if key_before is not None and keys[0] == key_before:
+            for k in np.flatnonzero(keys[owner] == key_before):
+                again[k] |= windows[k].tobytes() in seen
+        else:
+            seen = set()
+        key_before = keys[-1] if goes_on else None
+        if goes_on:
+            seen |= {windows[k].tobytes() for k in np.unique(rank, return_index=True)[1]}
+        yield _offsets(frame, owner, within, np.flatnonzero(again))
+
+
+def _offsets(frame: pd.DataFrame, owner: np.ndarray, within: np.ndarray, hit: np.ndarray) -> pa.RecordBatch:
+    """anchor, content and offsets: windows that were hit for the first stretch of a row, the whole string for its others."""
+    anchor = frame["anchor"].to_numpy()
+    stands_for = np.fromiter(map(len, frame["contents"]), np.int64, len(frame))
+    contents, ks = np.concatenate(frame["contents"].tolist()), np.concatenate(frame["ks"].tolist())
+    first = np.cumsum(stands_for) - stands_for
+    other = np.setdiff1d(np.arange(len(contents)), first)
+    rows, n = np.unique(owner[hit], return_counts=True)
+    values = np.concatenate([within[hit] + ks[first[owner[hit]]], ks[other]])
+    ends = np.cumsum(np.concatenate([[0], n, np.ones(len(other), np.int64)]))
+    whose = np.repeat(np.arange(len(frame)), stands_for)[other]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([anchor[rows], anchor[whose]])),
+            pa.array(np.concatenate([contents[first[rows]], contents[other]])),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())),
+        ],
+        ["anchor", "content", "again"],
     )
-    first = each.groupBy("h", "g").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = each.join(first, ["h", "g"]).where("place != first")
-    return again.groupBy("anchor", "content").agg(F.sort_array(F.collect_list("k")).alias("again"))
 
 
 def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -339,8 +407,7 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     in the same id at an earlier byte. Null texts count as empty. Rows of null id come before all
     others, as one document; rows that repeat an id are ordered by a hash of their texts, and rows
     that repeat id and text both count once and get the same result. An empty table gives no rows.
-    Two stretches count as equal by a 128-bit hash, as do windows of an anchor with MANY stretches;
-    all others are compared byte by byte.
+    Two stretches count as equal by a 128-bit hash; different ones are compared byte by byte.
     """
     kind = docs.schema[id].dataType.simpleString()
     texts, buckets = _bucketed(docs, id, text)
@@ -382,14 +449,13 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     fetched = asked.groupBy("bucket").cogroup(texts.groupBy("bucket")).applyInPandas(
         fetch, "anchor long, content long, doc long, twin long, at long, stretches long, before long, stretch binary"
     )
-    many = F.col("stretches") == MANY
-    any_many = not judged.where(many).isEmpty()
-    if any_many:
-        fetched = kept(fetched, "stretches")
-    few = fetched.where(~many).repartition("anchor").sortWithinPartitions("anchor")
-    windows = few.mapInArrow(_sorted_windows, "anchor long, content long, again array<int>")
-    if any_many:
-        windows = windows.unionByName(_dealt_windows(fetched.where(many)))
+    strings = fetched.mapInArrow(
+        _dealt, "key long, anchor long, doc long, twin long, start long, string binary, contents array<long>, ks array<int>"
+    )
+    windows = strings.repartition("key").sortWithinPartitions("key", "doc", "twin", "start").mapInArrow(
+        _sorted_windows, "anchor long, content long, again array<int>"
+    )
+    windows = windows.groupBy("anchor", "content").agg(F.flatten(F.collect_list("again")).alias("again"))
     verdicts = judged.join(windows, ["anchor", "content"], "left").select("bucket", "anchor", "content", "doc", "twin", "at", "again")
 
     def remove(key, known: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
