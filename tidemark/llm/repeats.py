@@ -28,10 +28,10 @@ from tidemark.llm.near_dedup import mixed
 LENGTH = 100
 GRAM = 32
 SHALLOW = 4  # words of 8 bytes that are sorted by multikey quicksort before blind tries take over
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
 POSITION_BITS = 22
 STEP = 1 << 21
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 STRETCHES_AT_ONCE = 4096
 MANY = 4096  # different stretches of one anchor; windows of anchors with as many are dealt by their content
 JUDGED_AT_ONCE = 1 << 16
