@@ -60,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
         "backfill", "input", "silver-path", "gold-root", "start-date", "end-date", help="redo a date range end to end"
     )
     backfill.add_argument("--warn", action="store_true", help="go on to gold even if a quality check fails")
+    backfill.add_argument("--zones", action="store_true", help="read only bronze directories that hold events of the range, by a zone map")
     register = command("register", "gold-root", help="external tables over the metric tables in the session's catalog")
     register.add_argument("--database", help="made if it is not there")
     land = command("land", "input", "output", "checkpoint", help="stream arriving events into bronze")
@@ -102,7 +103,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "backfill":
         paths = (args.input, args.silver_path, args.gold_root)
         mode = "warn" if args.warn else "raise"
-        print(json.dumps(jobs.run_backfill(spark, *paths, args.start_date, args.end_date, mode=mode)))
+        print(json.dumps(jobs.run_backfill(spark, *paths, args.start_date, args.end_date, mode=mode, zones=args.zones)))
     elif args.job == "register":
         create_gold_tables(spark, args.gold_root, args.database)
     elif args.job == "stream":

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -39,6 +40,7 @@ from tidemark.sources.lake import (
     write_by_date,
     write_gold,
 )
+from tidemark.sources.zonemap import ZoneMap
 
 Day = date | str
 
@@ -186,6 +188,7 @@ def backfill_silver(
     start_date: Day | None,
     end_date: Day | None,
     as_of: datetime | str | None = None,
+    zones: bool = False,
 ) -> Backfill:
     """Replace the silver partitions of a date range from bronze.
 
@@ -194,16 +197,18 @@ def backfill_silver(
     holding a copy of a row in the range are rewritten without it. Ids that the range no longer
     holds come back from their copies on other dates. Which other dates hold an id is looked up in
     the table's id index, whose entries stay where they lie; the event rows of untouched dates are not read. The
-    range is staged on shared storage first, so no table is read while overwritten.
+    range is staged on shared storage first, so no table is read while overwritten. With ``zones``, the
+    zone map beside bronze says which directories hold events of the range, and only these are read.
     """
     start, end = checked_range(start_date, end_date)
     now = as_of or datetime.now(timezone.utc)
     bronze = read_bronze(spark, bronze_path, start, end)
+    in_reach = _from_zones(spark, bronze_path, start, end) if zones else bronze
     silver = _read_if_present(spark, silver_path)
     staging = _staging_path(spark, silver_path)
     try:
-        with shuffles_sized_for(bronze):
-            passing = _stage_passing(bronze, f"{staging}/passing", now, start, end)
+        with shuffles_sized_for(in_reach):
+            passing = _stage_passing(in_reach, f"{staging}/passing", now, start, end)
             range_rows = _staged(spark, f"{staging}/range", _deduplicated(passing.rows))
             other_dates = _replace_silver(spark, bronze, silver, range_rows, silver_path, staging, start, end, now)
             return Backfill(passing.report(range_rows.count()), other_dates)
@@ -211,6 +216,15 @@ def backfill_silver(
         delete(spark, staging)
 
 
+def _from_zones(spark: SparkSession, bronze_path: str | list[str], start: date | None, end: date | None) -> DataFrame:
+    parts = []
+    for root in [bronze_path] if isinstance(bronze_path, str) else bronze_path:
+        zones = ZoneMap(spark, root)
+        zones.refresh()
+        parts.append(zones.read(start, end))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _staged(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -492,6 +506,7 @@ def run_backfill(
     end_date: Day,
     as_of: datetime | str | None = None,
     mode: str = "raise",
+    zones: bool = False,
 ) -> dict[str, int]:
     """Redo a date range from bronze through all six metric tables.
 
@@ -499,7 +514,7 @@ def run_backfill(
     """
     if not (start_date and end_date):
         raise ValueError("a backfill needs both start_date and end_date (YYYY-MM-DD)")
-    done = backfill_silver(spark, bronze_path, silver_path, start_date, end_date, as_of)
+    done = backfill_silver(spark, bronze_path, silver_path, start_date, end_date, as_of, zones)
     check_changes(spark, silver_path, _within(*checked_range(start_date, end_date), done.other_dates), mode, as_of)
     refresh_rollups(spark, silver_path, gold_root, start_date, end_date, done.other_dates)
     build_gold(spark, gold_root)

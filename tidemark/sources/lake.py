@@ -25,6 +25,7 @@ def read_bronze(
     start_date: date | str | None = None,
     end_date: date | str | None = None,
     prune_directories: bool = False,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """Raw events from NDJSON files under a root, a glob, or several of these together.
 
@@ -33,12 +34,18 @@ def read_bronze(
     under the hour of its landing; the cleaning job filters rows by their parsed timestamps.
     ``prune_directories`` is for lakes known to keep events under their own date: with a date range
     and a ``year=/month=/day=`` layout, only directories from one day before to one day after the
-    range are read, and those without a date.
+    range are read, and those without a date. ``files`` names the files under the root to read, as a zone map gives them.
     """
     if not isinstance(path, str):
         roots = [read_bronze(spark, root, start_date, end_date, prune_directories) for root in path]
         return reduce(DataFrame.unionByName, roots)
-    raw = spark.read.schema(BRONZE_AS_READ).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    reader = spark.read.schema(BRONZE_AS_READ).option("columnNameOfCorruptRecord", CORRUPT)
+    if files is None:
+        raw = reader.json(path)
+    elif files:
+        raw = reader.option("basePath", path).json(files)
+    else:
+        raw = spark.createDataFrame([], BRONZE_AS_READ)
     if "outcome" in raw.columns:  # a folder of accepted and rejected events
         raw = raw.filter("outcome = 'accepted'")
     if prune_directories and set(BRONZE_LEVELS[:3]) <= set(raw.columns):
