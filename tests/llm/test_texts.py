@@ -261,3 +261,12 @@ def test_toxicity_learns_words_and_ignores_group_names(spark, documents):
     assert toxicity(documents(rows), labels.limit(0)).agg(F.max("predicted")).first()[0] == 0
     assert toxicity(documents([]), labels).count() == 0
     assert spark.range(1).select(held_out_part(F.lit(7))).first()[0] in (True, False)
+
+
+@pytest.mark.parametrize("name", ["text", "__pii"])
+def test_redaction_keeps_columns_of_any_name(spark, name):
+    names = ["doc_id", name, "__spans", "__email", "__text", "ccccccc1"]
+    frame = spark.createDataFrame([(1, "write to a.b@c.org now", "s", "e", "t", "c"), (2, None, None, None, None, None)], ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    out = redacted(frame, name)
+    assert out.columns == names
+    assert sorted(map(tuple, out.collect())) == [(1, "write to [EMAIL] now", "s", "e", "t", "c"), (2, None, None, None, None, None)]

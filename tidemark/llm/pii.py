@@ -231,7 +231,15 @@ def pii_digest(docs: DataFrame, keep=lambda df: df) -> DataFrame:
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs, columns as they are, with every span in the text replaced by its kind in square brackets."""
+    """docs, columns as they are, with every span in the text replaced by its kind in square brackets.
+
+    Null texts stay null. Columns may have any names, those that this module gives to its own included.
+    """
+    longest = "c" * max(map(len, docs.columns))
+    names = {c: f"{longest}{k}" if c.startswith("__") else c for k, c in enumerate(docs.columns)}
+    if any(c != n for c, n in names.items()):
+        other = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+        return redacted(other, names[text]).select(*(F.col(f"`{n}`").alias(c) for c, n in names.items()))
     found = candidates(docs, text)
     keys = accepted(found)
     spans = F.array_sort(F.transform(_kept_spans(keys), lambda s: F.struct(s["start"], s["end"], s["kind"])))
