@@ -2,8 +2,10 @@
 
 import random
 import re
+from bisect import bisect_left
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +31,18 @@ def test_blind_trie_orders_strings():
     assert blind_trie_ranks([b"same"] * 3) == [0, 0, 0]
 
 
+@pytest.mark.parametrize("letters, width", [(2, 9), (2, 100), (256, 3), (256, 40), (1, 100), (3, 33)])
+def test_multikey_sort_ranks_rows(letters, width):
+    pick = np.random.default_rng(letters * width)
+    for n in (0, 1, 2, 3, 70, 900):
+        rows = pick.integers(0, letters, (n, width)).astype(np.uint8)
+        rows = np.concatenate([rows, rows[: n // 3], rows[: n // 5]])
+        rows[: n // 2, : min(width - 1, 60)] = 7  # long common prefixes, past the shallow depth
+        order = sorted({r.tobytes() for r in rows})
+        ranks = np.unique(repeats.multikey_sort(rows), return_inverse=True)[1]
+        assert ranks.tolist() == [bisect_left(order, r.tobytes()) for r in rows]
+
+
 def plain_repeats(rows):
     seen, want = set(), {}
     for i, t in sorted(rows):

@@ -94,31 +94,46 @@ def _stretch_hashes(data: np.ndarray, at: np.ndarray, first: np.ndarray, last: n
 
 
 def multikey_sort(strings: np.ndarray) -> np.ndarray:
-    """Rank of each row of bytes: its place in order, equal rows sharing the first of their places.
+    """Rank of each row of bytes: ranks are in the rows' order, equal rows share one.
 
-    Rows are split three ways by one word of 8 bytes at a time, all parts of a level together, to a
-    depth of SHALLOW words; parts of one row are done at once. Parts that are then still of several
+    Multikey quicksort: each part is split three ways around a pivot, the median of three of its words
+    of 8 bytes; rows equal to the pivot go on with their next word, to a depth of SHALLOW words. All
+    parts are split side by side, and parts of one row are done. Parts that are then still of several
     different rows go through blind tries.
     """
     n, width = strings.shape
     padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
     padded[:, :width] = strings
     words = padded.view(">u8")
+    depths = min(SHALLOW, words.shape[1])
+    shallow = words[:, :depths].astype(np.uint64).ravel()
     rank = np.zeros(n, np.int64)
-    live = np.arange(n)
-    for depth in range(min(SHALLOW, words.shape[1])):
-        if len(live) < 2:
-            return rank
-        word = words[live, depth].astype(np.uint64)
-        order = np.lexsort((word, rank[live]))
-        live, word = live[order], word[order]
-        part = rank[live]
-        new_part = np.concatenate([[True], part[1:] != part[:-1]])
-        starts = np.flatnonzero(new_part | np.concatenate([[True], word[1:] != word[:-1]]))
-        place = part + np.arange(len(live)) - np.flatnonzero(new_part)[np.cumsum(new_part) - 1]
-        sizes = np.diff(np.append(starts, len(live)))
-        rank[live] = np.repeat(place[starts], sizes)
-        live = live[np.repeat(sizes > 1, sizes)]
+    live = np.arange(n if n > 1 else 0)  # rows, part by part, in any order of parts
+    at = live * depths  # the row's next word
+    sizes = np.array([len(live)][: len(live)])
+    deep = []
+    while len(live):
+        starts = np.cumsum(sizes) - sizes
+        word = shallow[at]
+        a, b, c = word[starts], word[starts + sizes // 2], word[starts + sizes - 1]
+        pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), sizes)
+        less, more = word < pivot, word > pivot
+        same = ~(less | more)
+        n_less, n_more = (np.add.reduceat(side, starts, dtype=np.int64) for side in (less, more))
+        n_same = sizes - n_less - n_more
+        rank[live[same]] += np.repeat(n_less, n_same)
+        rank[live[more]] += np.repeat(n_less + n_same, n_more)
+        parts = []
+        for side, counts, step in ((less, n_less, 0), (same, n_same, 1), (more, n_more, 0)):
+            stays = counts > 1
+            rows = np.flatnonzero(side)[np.repeat(stays, counts)]
+            parts.append((live[rows], at[rows] + step, counts[stays]))
+        rows, words_at, counts = parts[1]
+        full = words_at % depths == 0
+        deep.append(rows[full])
+        parts[1] = rows[~full], words_at[~full], counts[~full[np.cumsum(counts) - counts]]
+        live, at, sizes = map(np.concatenate, zip(*parts))
+    live = np.concatenate([np.zeros(0, np.int64), *deep])
     if len(live):
         starts = np.flatnonzero(np.concatenate([[True], np.diff(rank[live]) != 0]))
         sizes = np.diff(np.append(starts, len(live)))
