@@ -35,6 +35,7 @@ AT_ONCE = 1 << 20
 STRETCHES_AT_ONCE = 4096
 MANY = 4096  # different stretches of one anchor; windows of anchors with as many are dealt by their content
 JUDGED_AT_ONCE = 1 << 16
+COMPARED_AT_ONCE = 1 << 14
 NO_ID = -(1 << 63)
 POLY = 0x9E3779B97F4A7C15
 POLY_INVERSE = pow(POLY, -1, 1 << 64)
@@ -102,19 +103,18 @@ def multikey_sort(strings: np.ndarray) -> np.ndarray:
     different rows go through blind tries.
     """
     n, width = strings.shape
-    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
-    padded[:, :width] = strings
-    words = padded.view(">u8")
-    depths = min(SHALLOW, words.shape[1])
-    shallow = words[:, :depths].astype(np.uint64).ravel()
+    depths = min(SHALLOW, -(-width // 8))
+    head = np.zeros((n, depths * 8), np.uint8)
+    head[:, : min(width, depths * 8)] = strings[:, : depths * 8]
+    words = head.view(">u8").ravel()
     rank = np.zeros(n, np.int64)
-    live = np.arange(n if n > 1 else 0)  # rows, part by part, in any order of parts
+    live = np.arange(n if n > 1 else 0, dtype=np.int32)  # rows, part by part, in any order of parts
     at = live * depths  # the row's next word
     sizes = np.array([len(live)][: len(live)])
-    deep = []
+    deep = [live[:0]]
     while len(live):
         starts = np.cumsum(sizes) - sizes
-        word = shallow[at]
+        word = words[at].astype(np.uint64)
         a, b, c = word[starts], word[starts + sizes // 2], word[starts + sizes - 1]
         pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), sizes)
         less, more = word < pivot, word > pivot
@@ -133,11 +133,15 @@ def multikey_sort(strings: np.ndarray) -> np.ndarray:
         deep.append(rows[full])
         parts[1] = rows[~full], words_at[~full], counts[~full[np.cumsum(counts) - counts]]
         live, at, sizes = map(np.concatenate, zip(*parts))
-    live = np.concatenate([np.zeros(0, np.int64), *deep])
+    live = np.concatenate(deep)
     if len(live):
         starts = np.flatnonzero(np.concatenate([[True], np.diff(rank[live]) != 0]))
         sizes = np.diff(np.append(starts, len(live)))
-        differs = (words[live, SHALLOW:] != words[np.repeat(live[starts], sizes), SHALLOW:]).any(axis=1)
+        lead = np.repeat(live[starts], sizes)
+        differs = np.zeros(len(live), bool)
+        for at in range(0, len(live), COMPARED_AT_ONCE):
+            some = slice(at, at + COMPARED_AT_ONCE)
+            differs[some] = (strings[live[some], depths * 8 :] != strings[lead[some], depths * 8 :]).any(axis=1)
         for k in np.flatnonzero(np.add.reduceat(differs, starts, dtype=np.int64)):
             rows = live[starts[k] : starts[k] + sizes[k]]
             rank[rows] += np.array(blind_trie_ranks([strings[r].tobytes() for r in rows]))
