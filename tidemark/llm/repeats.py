@@ -28,7 +28,7 @@ from tidemark.llm.near_dedup import mixed
 LENGTH = 100
 GRAM = 32
 SHALLOW = 4  # words of 8 bytes that are sorted by multikey quicksort before blind tries take over
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 POSITION_BITS = 22
 STEP = 1 << 21
 AT_ONCE = 1 << 20
