@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tidemark.llm import decontaminate, repeats
+from tidemark.llm import decontaminate, near_dedup, repeats
 from tidemark.llm.decontaminate import contamination, without_contaminated
 from tidemark.llm.near_dedup import near_duplicates, shingle_sets, without_near_duplicates
 from tidemark.llm.pii import pii_digest, redacted
@@ -185,6 +185,22 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(got, key=str) == sorted((tuple(r) for r in without_near_duplicates(frame.repartition(3)).collect()), key=str)
 
 
+@pytest.mark.parametrize("given,wanted", [("5000", "1000"), ("0", "1000"), ("7", "7")])
+def test_tasks_of_near_duplicates_get_small_batches(spark, documents, monkeypatch, given, wanted):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, kept = [], near_dedup.kept
+    monkeypatch.setattr(near_dedup, "kept", lambda df, name: seen.append((name, spark.conf.get(key))) or kept(df, name))
+    before = spark.conf.get(key)
+    spark.conf.set(key, given)
+    try:
+        text = prose(60)
+        assert without_near_duplicates(documents([(1, text), (2, text + " more")])).count() == 1
+        assert spark.conf.get(key) == given
+    finally:
+        spark.conf.set(key, before)
+    assert {n for n, most in seen if most == wanted} >= {"signatures", "candidates", "sets", "likely"}
+
+
 def test_null_and_repeated_ids_are_kept(documents):
     text = prose(40)
     out = near_duplicates(documents([(None, text), (1, text), (1, text), (2, text)]))

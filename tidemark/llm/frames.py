@@ -5,12 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 2 << 20
+BATCH_ROWS = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +37,21 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand tasks at most BATCH_ROWS rows at once in the enclosed actions.
+
+    A batch lies in the memory of the executor, outside its heap, and of the Python worker at the same time.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, one after the other, and the offsets of the texts; null counts as empty."""
     column = column.cast(pa.large_string()).fill_null("")

@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import kept, slices, text_bytes
+from tidemark.llm.frames import kept, slices, small_batches, text_bytes
 
 BANDS, ROWS = 32, 5
 SLOTS = 240  # the first BANDS * ROWS also make up the bands
+TEXT_AT_ONCE = 1 << 20
 ELEMENTS_AT_ONCE = 1 << 15
 BLOCK = 1024
 MARGIN = 14  # percentage points by which a link's signatures may agree less than its sets
@@ -142,7 +143,7 @@ def described(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, t1 and t2 (the text's key), n (size of the set), k1 and k2 (its 128-bit key), short (a byte for each slot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_AT_ONCE):
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *_described(batch.column(3), size)], ["doc_id", "t1", "t2", "n", "k1", "k2", "short"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), F.col("text").alias("text"))
@@ -185,7 +186,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_AT_ONCE):
             shingles, first = shingle_sets(batch.column(1), size)
             data = [shingles[i:j].tobytes() for i, j in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "elements"])
@@ -392,7 +393,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     that repeat an id belong together only if their sets are linked. A row of null id is kept and has
     the component of its set, if that has one. An empty table gives no rows.
     """
-    out = _grouped(docs, size, percent)
+    with small_batches(docs.sparkSession):
+        out = _grouped(docs, size, percent)
     component = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -405,7 +407,8 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -
     Rows without words stay. A row of null id stays only if no row with an id is in its group, and then only
     one such row does. Of rows equal in id and text the one of the smallest hash of all columns stays.
     """
-    rows = _grouped(docs, size, percent).where("n > 0")
+    with small_batches(docs.sparkSession):
+        rows = _grouped(docs, size, percent).where("n > 0")
     alone = F.col("component").isNull()
     group = ["component", "g1", "g2"]
     texts = rows.withColumns({"g1": F.when(alone, F.col("k1")), "g2": F.when(alone, F.col("k2"))})

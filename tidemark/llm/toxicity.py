@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.frames import gather, kept, slices, text_bytes
+from tidemark.llm.frames import gather, kept, slices, small_batches, text_bytes
 from tidemark.llm.runs import pieces
 
 # Names of groups, which may be swapped for one another.
@@ -166,7 +166,8 @@ def fit(rows: list[tuple[int, list[int]]], n_features: int, identity: list[int])
 
 def train(docs: DataFrame, labels: DataFrame, held_out) -> Model:
     """held_out: from the id column to a condition; rows for which it holds are not learned from."""
-    rows = labelled_words(docs, labels, held_out)
+    with small_batches(docs.sparkSession):
+        rows = labelled_words(docs, labels, held_out)
     chosen = choose_words(rows)
     words = {w: i for i, w in enumerate(chosen)}
     shared = docs.sparkSession.sparkContext.broadcast(words)
