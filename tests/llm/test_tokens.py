@@ -5,12 +5,15 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tidemark.llm.bpe import encode, encode_digest, vocabulary
 from tidemark.llm import token_counts as counting
+from tidemark.llm import token_files
 from tidemark.llm.token_counts import most_frequent, token_counts
-from tidemark.llm.token_files import pack, token_file_digest, unpack
+from tidemark.llm.frames import new_path
+from tidemark.llm.token_files import Encoder, pack, read_token_files, token_file_digest, unpack, write_token_files
 from tokenizers import Tokenizer
 
 WORDS, BYTES, PIECES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -108,6 +111,45 @@ def test_token_files_hold_all_ids_in_order(docs):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+@pytest.mark.parametrize("hashes", [1, 3, (1 << 64) - 1])
+@pytest.mark.parametrize("most", [5, 1_000_000])
+def test_words_kept_are_found_whatever_their_hashes(monkeypatch, hashes, most):
+    hashed = token_files.word_hashes
+    monkeypatch.setattr(token_files, "word_hashes", lambda data, offsets: hashed(data, offsets) % np.uint64(hashes))
+    monkeypatch.setattr(token_files, "CACHED_PIECES", most)
+    tool, kept = Tokenizer.from_file(BYTES), Encoder(BYTES)
+    for texts in (TEXTS, TEXTS[::-1], ["of the", "Dup new", "the of"], [None, ""], TEXTS):
+        ids, counts = kept.encode(pa.array(texts, pa.string()))
+        want = [tool.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_words_kept_are_not_encoded_again():
+    kept, calls = Encoder(BYTES), []
+
+    class Counted:
+        def encode_batch_fast(self, words, **options):
+            calls.extend(words)
+            return library.encode_batch_fast(words, **options)
+
+    library, kept.tokenizer = kept.tokenizer, Counted()
+    texts = pa.array([f"word{k} of {k}" for k in range(700)])
+    first = kept.encode(texts)
+    assert len(calls) == len(set(calls)) == len(kept.hashes)
+    again = kept.encode(texts)
+    assert len(calls) == len(set(calls)) and all((a == b).all() for a, b in zip(first, again))
+
+
+def test_digest_of_token_files_needs_no_ids_in_spark(spark, docs):
+    path = new_path(spark, "token-files")
+    write_token_files(docs, path, BYTES, 2)
+    whole, digest = read_token_files(spark, path), read_token_files(spark, path, ids=False)
+    assert {(r.start, r.n_tokens, r.ids_crc32) for r in whole.collect()} == {(r.start, r.n_tokens, r.ids_crc32) for r in digest.collect()}
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.n_tokens for r in whole.collect())
+    plan = token_file_digest(docs, BYTES, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert ", ids_crc32#" in plan and ", ids#" not in plan
+
+
 def test_empty_tables(documents):
     empty = documents([])
     assert token_counts(empty, PIECES).count() == encode_digest(empty, WORDS).count() == token_file_digest(empty, BYTES, 2).count() == 0
