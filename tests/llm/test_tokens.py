@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
-from tidemark.llm.bpe import encode, encode_digest, vocabulary
+from tidemark.llm.bpe import encode, encode_digest, encoded, vocabulary
 from tidemark.llm import token_counts as counting
 from tidemark.llm import token_files
 from tidemark.llm.token_counts import most_frequent, token_counts
@@ -82,6 +82,16 @@ def test_bpe_equals_the_library_and_decodes(docs):
     assert all(ids[i] == tool.encode(TEXTS[i] or "", add_special_tokens=False).ids for i in ids)
 
 
+def test_worker_keeps_no_words_of_a_task_that_is_over():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(TEXTS))), pa.array(TEXTS, pa.string())], ["id", "text"])
+    tool, vocab = Tokenizer.from_file(WORDS), vocabulary(WORDS)
+    running = encoded(iter([batch, batch]), WORDS)
+    for _ in range(2):
+        out = next(running)
+        assert out["ids"].to_pylist() == [tool.encode(t or "", add_special_tokens=False).ids for t in TEXTS] and vocab.words
+    assert not list(running) and not vocab.words
+
+
 def test_stale_heap_entries_are_skipped():
     vocab = vocabulary(WORDS)
     tool = Tokenizer.from_file(WORDS)

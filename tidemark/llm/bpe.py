@@ -157,6 +157,18 @@ def encode_texts(texts: list[str], vocab: Vocabulary) -> list[tuple[bytes, bytes
     return out
 
 
+def encoded(batches: Iterator[pa.RecordBatch], vocab_path: str) -> Iterator[pa.RecordBatch]:
+    """id, ids and decoded of batches of id and text. Words are kept for one task: the worker goes on to other stages."""
+    vocab = vocabulary(vocab_path)
+    try:
+        for batch in slices(batches, "text"):
+            done = encode_texts([t or "" for t in batch.column(1).to_pylist()], vocab)
+            ids = pa.array([np.frombuffer(d[0], "<u4") for d in done], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([d[1].decode("utf-8") for d in done])], ["id", "ids", "decoded"])
+    finally:
+        vocab.words.clear()
+
+
 def encode(docs: DataFrame, vocab_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids (array of int), decoded: the whole text of every row encoded, and decoded again.
 
@@ -164,17 +176,10 @@ def encode(docs: DataFrame, vocab_path: str, id: str = "doc_id", text: str = "te
     empty result; further columns of docs are not read. Memory is bounded by CACHED_WORDS words and
     some tens of times the longest text.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(vocab_path)
-        for batch in slices(batches, "text"):
-            done = encode_texts([t or "" for t in batch.column(1).to_pylist()], vocab)
-            ids = pa.array([np.frombuffer(d[0], "<u4") for d in done], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([d[1].decode("utf-8") for d in done])], ["id", "ids", "decoded"])
-
     kind = docs.schema[id].dataType.simpleString()
     read = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return read.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id)
+    out = read.mapInArrow(lambda batches: encoded(batches, vocab_path), f"id {kind}, ids array<int>, decoded string")
+    return out.withColumnRenamed("id", id)
 
 
 def encode_digest(docs: DataFrame, vocab_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
